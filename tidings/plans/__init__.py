@@ -4,3 +4,4 @@ all of them in :mod:`tidings.plans.registry`."""
 from tidings.plans import q_text  # noqa: F401
 from tidings.plans import q_mail  # noqa: F401
 from tidings.plans import q_summary  # noqa: F401
+from tidings.plans import q_digest  # noqa: F401

@@ -23,10 +23,16 @@ SQL_MAIL = """
 m AS (
   SELECT coalesce(d.doc_id, p.page_id) AS msg_uid,
          d.doc_id IS NOT NULL AS has_doc, p.page_id IS NOT NULL AS has_page,
-         d.text, p.html, coalesce(d.doc_id, p.page_id) % 10 AS v
+         d.text, p.html, coalesce(d.doc_id, p.page_id) % 10 AS v,
+         coalesce(d.source, p.url) AS sender
   FROM documents d FULL OUTER JOIN pages p ON d.doc_id = p.page_id),
 b AS (
-  SELECT msg_uid, v, has_doc, has_page,
+  SELECT msg_uid, v, has_doc, has_page, sender,
+    CASE WHEN NOT has_doc THEN NULL
+         WHEN v = 2 THEN ''
+         WHEN v = 3 THEN ' ' || chr(9) || chr(10) || chr(160)
+         WHEN v = 6 THEN chr(12288) || chr(9) || text || chr(10) || chr(160)
+         ELSE text END AS pt,
     CASE WHEN NOT has_doc OR v = 4 OR (has_page AND v = 1) THEN NULL
          WHEN v = 2 THEN ''
          WHEN v = 3 THEN ' ' || chr(9) || chr(10) || chr(160)
