@@ -37,7 +37,10 @@ CHUNK_TYPE = ("array<struct<chunk_ix:int,start_tok:int,n_tok:int,"
 
 
 def _lit(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(int(x))
+    """A column, a column name, or an integer literal."""
+    if isinstance(x, Column):
+        return x
+    return F.col(x) if isinstance(x, str) else F.lit(int(x))
 
 
 def chunk_step(m, o) -> Column:
