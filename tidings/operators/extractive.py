@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidings.functions.text import col_, html_escape, py_strip, sentences, terms
+from tidings.functions.text import (TERM_MIN_LEN, TERM_SPLIT_RE, col_, html_escape,
+                                    py_strip, sentences)
 
 # --- fixed values -----------------------------------------------------------
 TOP_KEYWORDS = 5
@@ -60,10 +61,13 @@ def doc_terms(docs: DataFrame, key: str = "doc_id",
               text: str = "text") -> DataFrame:
     """(key, term): one row per term occurrence.
 
-    ``explode_outer`` + NOT NULL filter keeps the optimizer from inferring a
-    ``size(terms(text)) > 0`` filter and computing the terms twice."""
-    return (docs.select(key, F.explode_outer(terms(text)).alias("term"))
-                .where(F.col("term").isNotNull()))
+    The letter runs are exploded first and the length test is a plain
+    (codegen) filter after it, not an array lambda. ``explode_outer`` keeps
+    the optimizer from inferring a ``size(..) > 0`` filter that would split
+    the text twice."""
+    runs = F.split(F.lower(col_(text)), TERM_SPLIT_RE)
+    return (docs.select(key, F.explode_outer(runs).alias("term"))
+                .where(F.length("term") >= TERM_MIN_LEN))
 
 
 def term_weights(docs: DataFrame, key: str = "doc_id",
@@ -75,7 +79,10 @@ def term_weights(docs: DataFrame, key: str = "doc_id",
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     tf = doc_terms(docs, key, text).groupBy(key, "term").agg(
         F.count(F.lit(1)).alias("tf"))
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # df: the documents where the term occurs (tf > 0). Reading tf here keeps
+    # this branch's plan equal to the other one up to the (key, term)
+    # shuffle, so AQE reuses that stage instead of splitting the texts twice.
+    df_ = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("df"))
     w = tf.join(df_, on="term")
     score = F.round(F.col("tf") * F.ln((n_docs + F.lit(1)) / (F.col("df") + F.lit(1))),
                     SCORE_DIGITS)
@@ -116,7 +123,10 @@ def top_sentences(units: DataFrame, weights: DataFrame, keys: list[str],
     earlier sentence. Returns (keys..., picked) with the picked sentences
     joined by single spaces.
     """
-    occ = (units.select(*keys, "s_ix", F.explode_outer(terms("sentence")).alias("term")))
+    runs = F.explode_outer(F.split(F.lower("sentence"), TERM_SPLIT_RE))
+    occ = (units.select(*keys, "s_ix", runs.alias("run"))
+                .select(*keys, "s_ix", F.when(F.length("run") >= TERM_MIN_LEN,
+                                             F.col("run")).alias("term")))
     scored = (occ.join(weights.select(key, "term", "score"), on=[key, "term"],
                        how="left")
                  .groupBy(*keys, "s_ix")

@@ -26,16 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the scan gives fewer splits than the
+    cluster's default parallelism.
+
+    Text rows are CPU-heavy (regex splits, explodes, parsing) while the
+    files may be few and unsplittable (one row group). On a large input the
+    scan already has thousands of splits and this adds no shuffle; only a
+    small, under-split input is redistributed (round robin)."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par)
+
+
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def pages(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages")
+    return spread(table(spark, sf_dir, "pages"))
 
 
 def conversations(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "conversations")
+    return spread(table(spark, sf_dir, "conversations"))
 
 
 def read_ledger(spark, sf_dir) -> DataFrame:
