@@ -5,3 +5,4 @@ from tidings.plans import q_text  # noqa: F401
 from tidings.plans import q_mail  # noqa: F401
 from tidings.plans import q_summary  # noqa: F401
 from tidings.plans import q_digest  # noqa: F401
+from tidings.plans import q_stream  # noqa: F401
