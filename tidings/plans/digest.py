@@ -76,17 +76,24 @@ def extractive_summaries(staged: DataFrame, key: str = "msg_uid") -> DataFrame:
     kw = X.keyword_line(X.keywords(w, key), key)
     ex = X.top_sentences(X.sentence_units(d, [key], "text"), w, [key],
                          X.EXEC_SENTENCES, key)
-    ch = explode_chunks(ok, [key]).select(key, "chunk_ix", "chunk")
+    # A body that fits in one window is that window verbatim, so its
+    # detailed pick is its executive pick when both take the same number of
+    # sentences: only multi-window bodies go through the window pass.
+    reuse = X.DETAIL_SENTENCES == X.EXEC_SENTENCES
+    multi = ok.where(F.col("n_chunks") > 1) if reuse else ok
+    ch = explode_chunks(multi, [key]).select(key, "chunk_ix", "chunk")
     per = X.top_sentences(X.sentence_units(ch, [key, "chunk_ix"], "chunk"), w,
                           [key, "chunk_ix"], X.DETAIL_SENTENCES, key)
     det = per.groupBy(key).agg(F.array_join(F.transform(F.array_sort(
         F.collect_list(F.struct("chunk_ix", "picked"))), lambda s: s["picked"]),
         " ").alias("detailed"))
-    sec = (d.select(key, X.title_of("text").alias("title"),
-                    X.date_of("text").alias("article_date"))
+    sec = (ok.select(key, "n_chunks", X.title_of("body").alias("title"),
+                     X.date_of("body").alias("article_date"))
            .join(ex, key, "left").join(kw, key, "left").join(det, key, "left"))
+    detailed = (F.when(F.col("n_chunks") == 1, F.col("picked")).otherwise(F.col("detailed"))
+                if reuse else F.col("detailed"))
     return sec.select(key, X.digest_html("title", "article_date", "picked",
-                                         "keywords", "detailed").alias("summary"),
+                                         "keywords", detailed).alias("summary"),
                       F.lit(None).cast("string").alias("error_kind"))
 
 

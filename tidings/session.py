@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Text rows are CPU-heavy per byte: do not let AQE merge small shuffle
+    # partitions into a single task (at scale partitions are large anyway).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.session.timeZone": "UTC",
