@@ -27,6 +27,9 @@ RUN_ID = "run-0001"
 #   in a "```html" fence; 4 no body tag at all.
 # ---------------------------------------------------------------------------
 
+_HDR = f"LLM Model: {DEFAULT_MODEL}<br><br>"
+_NL = "chr(10) || '--' || chr(10)"
+
 CFG = RunConfig(sender=SENDER, from_addr="digest@localhost", to_addr="reader@localhost",
                 max_tokens=WIN_M, overlap=WIN_O)
 
@@ -91,16 +94,78 @@ def q_ledger_after_run(spark, sf_dir):
     return ledger_after_run(T.read_ledger(spark, sf_dir), oc, RUN_ID)
 
 
-@query("digest_outbox")
+def _esc(x: str) -> str:
+    return (f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), "
+            f"'>', '&gt;'), '\"', '&quot;')")
+
+
+def _sec(title: str, x: str) -> str:
+    return (f"CASE WHEN coalesce({x}, '') <> '' THEN '<h3>{title}</h3><p>' || {_esc(x)} "
+            f"|| '</p>' ELSE '' END")
+
+
+def _sql_digest() -> str:
+    """The whole digest in SQL: the run's bodies, tf-idf over them, the
+    sections, the HTML, the header, the subject and the forwarded original."""
+    from tidings.operators import extractive as X
+    from tidings.plans.q_summary import _sql_top_sentences, sql_weights
+    t_exec, t_kw, t_det = X.SECTION_TITLES
+    head = (f"CASE WHEN title IS NOT NULL THEN '<h2>' || {_esc('title')} || '</h2>' || "
+            f"CASE WHEN adate IS NOT NULL THEN '<p>' || {_esc('adate')} || '</p>' ELSE '' END "
+            f"ELSE '' END")
+    return f"""
+WITH {SQL_MAIL},
+u AS (SELECT * FROM b WHERE contains(lower(sender), lower('{SENDER}'))
+      AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.quality = 1 AND l.doc_id = b.msg_uid)),
+runq AS (SELECT msg_uid AS doc_id, v, has_doc, has_page, pt, html, subj,
+           CASE WHEN plain <> '' THEN {sql_strip('plain')} WHEN html <> '' THEN {sql_strip('html')} END AS text
+         FROM u),
+{sql_weights('runq')},
+kwr AS (SELECT doc_id, term, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS r FROM w),
+kw AS (SELECT doc_id, string_agg(term, '{X.KEYWORD_SEP}' ORDER BY r) AS keywords FROM kwr
+       WHERE r <= {X.TOP_KEYWORDS} GROUP BY doc_id),
+{_sql_top_sentences('runq', ['doc_id'], X.EXEC_SENTENCES, 'ex_')},
+cw AS ({_sql_windows(WIN_M, WIN_O, 'runq')}),
+cu AS (SELECT doc_id, chunk_ix, chunk AS text FROM cw),
+{_sql_top_sentences('cu', ['doc_id', 'chunk_ix'], X.DETAIL_SENTENCES, 'dt_')},
+dd AS (SELECT doc_id, string_agg(picked, ' ' ORDER BY chunk_ix) AS detailed FROM dt_pk GROUP BY doc_id),
+sec AS (SELECT r.doc_id, r.subj, r.v, r.has_doc, r.has_page, r.pt, r.html,
+          nullif({sql_strip(f"CASE WHEN strpos(lower(r.text), '<title>') > 0 THEN regexp_extract(r.text, '{X.TITLE_RE}', 1) ELSE split_part(r.text, chr(10), 1) END")}, '') AS title,
+          nullif(regexp_extract(r.text, '{X.DATE_RE}', 0), '') AS adate,
+          ex_pk.picked AS ex, kw.keywords, dd.detailed
+        FROM runq r LEFT JOIN ex_pk ON r.doc_id = ex_pk.doc_id LEFT JOIN kw ON r.doc_id = kw.doc_id
+        LEFT JOIN dd ON r.doc_id = dd.doc_id
+        WHERE coalesce(r.text, '') <> ''),
+sm AS (SELECT *, {head} || {_sec(t_exec, 'ex')} || {_sec(t_kw, 'keywords')} || {_sec(t_det, 'detailed')}
+              AS summary FROM sec),
+hd AS (SELECT *, strpos(summary, '<body>') AS pos FROM sm WHERE summary <> '')
+SELECT doc_id AS msg_uid, '{CFG.from_addr}' AS from_addr, '{CFG.to_addr}' AS to_addr,
+  coalesce(nullif('tldr Summary: ' || coalesce(subj, 'Email UID ' || doc_id || ' (No Subject)'), ''),
+           'tldr Summary') AS subject,
+  replace(replace(CASE WHEN pos > 0 THEN substr(summary, 1, pos + 5) || '{_HDR}' || substr(summary, pos + 6)
+                       ELSE '{_HDR}' || summary END, '```html', ''), '```', '') AS html,
+  'text/html:{ORIGINAL_SEPARATOR}' || {_NL} ||
+    CASE WHEN has_doc AND has_page THEN
+           'text/plain:' || CASE WHEN v = 4 THEN '' ELSE coalesce(pt, '') END || {_NL} ||
+           'text/html:' || coalesce(html, '')
+         WHEN has_doc THEN
+           'text/plain:' || CASE WHEN v = 4 THEN '{ATTACH_FAILED}unknown encoding: x-unknown'
+                                 ELSE coalesce(pt, '') END
+         ELSE 'text/html:' || coalesce(html, '') END AS original
+FROM hd
+"""
+
+
+@query("digest_outbox", _sql_digest())
 def q_digest_outbox(spark, sf_dir):
     """The whole run with the built-in summarizer: one outbox row per
-    delivered message (rows-only check; sections are checked one by one)."""
+    delivered message."""
     ob, _ = _run(spark, sf_dir)
     return ob.select("msg_uid", "from_addr", "to_addr", "subject", "html",
                      elements_text("original").alias("original"))
 
 
-@query("entry_flagship")
+@query("entry_flagship", _sql_digest())
 def q_entry_flagship(spark, sf_dir):
     return q_digest_outbox(spark, sf_dir)
 
@@ -119,9 +184,6 @@ def q_model_fold(spark, sf_dir):
     return model_fold(d, "doc_id", "chunks", LeadSentence())
 
 
-_HDR = f"LLM Model: {DEFAULT_MODEL}<br><br>"
-
-
 @query("render_digest", f"""
 WITH v AS (SELECT page_id, CASE page_id % 10
              WHEN 1 THEN replace(html, '<body>', '<BODY>')
@@ -149,9 +211,6 @@ def q_render_digest(spark, sf_dir):
                     F.length(out).cast("bigint").alias("html_chars"))
 
 
-_NL = "chr(10) || '--' || chr(10)"
-
-
 @query("append_original", f"""
 WITH {SQL_MAIL}
 SELECT msg_uid,

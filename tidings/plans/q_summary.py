@@ -82,15 +82,20 @@ def sql_terms(x: str) -> str:
             f"lambda t: length(t) >= {TERM_MIN_LEN})")
 
 
-SQL_WEIGHTS = f"""
-tt AS (SELECT doc_id, unnest({sql_terms('text')}) AS term FROM documents),
+def sql_weights(src: str = "documents") -> str:
+    """CTEs ending in ``w(doc_id, term, score)``: tf-idf over ``src(doc_id, text)``."""
+    return f"""
+tt AS (SELECT doc_id, unnest({sql_terms('text')}) AS term FROM {src}),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tt GROUP BY doc_id, term),
 dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-nd AS (SELECT count(*) AS n FROM documents),
+nd AS (SELECT count(*) AS n FROM {src}),
 w AS (SELECT tf.doc_id, tf.term, round(tf.tf * ln((nd.n + 1) / (dfq.df + 1)), 6) AS score
       FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN nd)"""
 
 
+SQL_WEIGHTS = sql_weights()
+
+
 @query("keywords_topk", f"""
 WITH {SQL_WEIGHTS},
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS kw_rank FROM w)
@@ -103,25 +108,27 @@ def q_keywords_topk(spark, sf_dir):
                      "term", "score")
 
 
-def _sql_top_sentences(units: str, keys: list[str], k: int) -> str:
-    """CTEs ``s``..``pk`` picking the best ``k`` sentences of each ``keys``
-    group of the ``units(keys.., text)`` relation."""
+def _sql_top_sentences(units: str, keys: list[str], k: int, p: str = "") -> str:
+    """CTEs ``{p}s``..``{p}pk`` picking the best ``k`` sentences of each
+    ``keys`` group of the ``units(keys.., text)`` relation, scored with
+    ``w``."""
     kc = ", ".join(keys)
     on = " AND ".join(f"s.{c} = sc.{c}" for c in keys)
     return f"""
-sx AS (SELECT {kc}, list_filter(list_transform(regexp_extract_all(text, '{SENTENCE_RE}'),
+{p}sx AS (SELECT {kc}, list_filter(list_transform(regexp_extract_all(text, '{SENTENCE_RE}'),
           lambda x: {sql_strip('x')}), lambda x: x <> '') AS sents FROM {units}),
-si AS (SELECT {kc}, sents, unnest(range(len(sents))) AS i FROM sx),
-s AS (SELECT {kc}, i AS s_ix, sents[i + 1] AS sentence FROM si),
-o AS (SELECT {kc}, s_ix, unnest({sql_terms('sentence')}) AS term FROM s),
-sc AS (SELECT {', '.join('o.' + c for c in keys)}, o.s_ix, avg(w.score) AS a FROM o
+{p}si AS (SELECT {kc}, sents, unnest(range(len(sents))) AS i FROM {p}sx),
+{p}s AS (SELECT {kc}, i AS s_ix, sents[i + 1] AS sentence FROM {p}si),
+{p}o AS (SELECT {kc}, s_ix, unnest({sql_terms('sentence')}) AS term FROM {p}s),
+{p}sc AS (SELECT {', '.join('o.' + c for c in keys)}, o.s_ix, avg(w.score) AS a FROM {p}o o
        JOIN w ON o.doc_id = w.doc_id AND o.term = w.term
        GROUP BY {', '.join('o.' + c for c in keys)}, o.s_ix),
-ss AS (SELECT {', '.join('s.' + c for c in keys)}, s.s_ix, s.sentence,
+{p}ss AS (SELECT {', '.join('s.' + c for c in keys)}, s.s_ix, s.sentence,
               round(coalesce(sc.a, 0), 6) AS s_score
-       FROM s LEFT JOIN sc ON {on} AND s.s_ix = sc.s_ix),
-rk AS (SELECT *, row_number() OVER (PARTITION BY {kc} ORDER BY s_score DESC, s_ix) AS r FROM ss),
-pk AS (SELECT {kc}, string_agg(sentence, ' ' ORDER BY s_ix) AS picked FROM rk
+       FROM {p}s s LEFT JOIN {p}sc sc ON {on} AND s.s_ix = sc.s_ix),
+{p}rk AS (SELECT *, row_number() OVER (PARTITION BY {kc} ORDER BY s_score DESC, s_ix) AS r
+       FROM {p}ss),
+{p}pk AS (SELECT {kc}, string_agg(sentence, ' ' ORDER BY s_ix) AS picked FROM {p}rk
        WHERE r <= {k} GROUP BY {kc})"""
 
 

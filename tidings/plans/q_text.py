@@ -64,11 +64,11 @@ def q_token_totals(spark, sf_dir):
         F.max("n").cast("bigint").alias("max_tokens"))
 
 
-def _sql_windows(m: int, o: int) -> str:
+def _sql_windows(m: int, o: int, src: str = "documents") -> str:
     step = f"CASE WHEN {m} > {o} THEN {m} - {o} WHEN {m} > 1 THEN {m} // 2 ELSE 1 END"
     return f"""
 WITH t AS (
-  SELECT doc_id, text, {sql_words('text')} AS tok FROM documents),
+  SELECT doc_id, text, {sql_words('text')} AS tok FROM {src}),
 n AS (SELECT doc_id, text, tok, coalesce(len(tok), 0) AS n, {step} AS step FROM t),
 c AS (SELECT *, CASE WHEN n = 0 THEN 0 WHEN n <= {m} THEN 1
                      ELSE (n - {m} + step - 1) // step + 1 END AS cnt FROM n),
