@@ -75,3 +75,25 @@ def test_masking(raw):
     assert m[("good", "gmail_user")] == "test@example.com"
     assert m[("good", "max_tokens_per_chunk")] == "******"   # a string under a 'token' key
     assert m[("flag_text", "smtp_port")] == "587"
+
+
+def test_settings_drive_a_run(spark, raw, sf_small):
+    from pyspark.sql import functions as F
+
+    from tidings.plans.digest import config_from_settings, run_digest
+    from tidings.sources import tables as T
+    from tidings.streaming.poll import documents_as_messages
+    rows = {r.subscription: r for r in S.runnable(raw).collect()}
+    assert set(rows) == {"good", "flag_text", "flag_space"}
+    cfg = config_from_settings(rows["good"].asDict())
+    assert cfg.max_tokens == 300 and cfg.overlap == 200 and cfg.forward is False
+    msgs = documents_as_messages(T.documents(spark, sf_small)).withColumn(
+        "sender", F.lit("Stratechery <SENDER@example.com>"))
+    outbox, outcomes = run_digest(msgs, T.read_ledger(spark, sf_small), cfg)
+    n_unread = T.documents(spark, sf_small).join(
+        T.read_ledger(spark, sf_small).withColumnRenamed("msg_uid", "doc_id"),
+        "doc_id", "left_anti").count()
+    assert outcomes.count() == n_unread
+    ob = outbox.collect()
+    assert len(ob) == n_unread and all(r.original is None for r in ob)
+    assert all(r.to_addr == "target@example.com" for r in ob)

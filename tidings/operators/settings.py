@@ -136,6 +136,12 @@ def rejects(raw_df: DataFrame) -> DataFrame:
     return bad_json.unionByName(missing).unionByName(bad_int).unionByName(bad_window)
 
 
+def runnable(raw_df: DataFrame) -> DataFrame:
+    """Resolved settings of the subscriptions with no reject reason."""
+    return resolve(settings_long(raw_df)).join(
+        rejects(raw_df).select("subscription").distinct(), "subscription", "left_anti")
+
+
 def masked(long_df: DataFrame) -> DataFrame:
     """C4: (subscription, key, shown) with secret string values hidden."""
     secret = F.lower("key").rlike(SECRET_KEY_RE) & (F.col("json_type") == "STRING")

@@ -140,9 +140,26 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
                           "msg_uid", "chunks", summarizer, focus=cfg.focus,
                           system_prompt=cfg.system_prompt,
                           initial_context=cfg.initial_context)
+        if materialize:
+            # A hosted model need not answer the same twice: write the replies
+            # once, so a retried downstream task reads them instead of asking
+            # again and getting different text.
+            sums = sums.checkpoint(eager=True)
     return finish(staged, sums, cfg)
 
 
+def config_from_settings(row) -> RunConfig:
+    """A ``RunConfig`` from one row of ``settings.resolve`` (a subscription
+    that ``settings.rejects`` does not list)."""
+    return RunConfig(sender=row["stratechery_sender_email"],
+                     from_addr=row["gmail_user"], to_addr=row["target_email"],
+                     model=row["openai_model_name"],
+                     max_tokens=row["max_tokens_per_chunk"],
+                     overlap=row["chunk_overlap_tokens"],
+                     forward=bool(row["forward_original_email"]),
+                     focus=row["prompt_focus"], system_prompt=row["system_prompt"])
+
+
 def write_run(outbox: DataFrame, outcomes: DataFrame, out_dir: str,
               run_id: str) -> None:
     """Outbox first (idempotent: the run's partition is overwritten), then
