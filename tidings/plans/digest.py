@@ -97,11 +97,19 @@ def extractive_summaries(staged: DataFrame, key: str = "msg_uid") -> DataFrame:
                       F.lit(None).cast("string").alias("error_kind"))
 
 
-def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig):
-    """(outbox, outcomes) from staged messages and their summaries."""
+def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig,
+           materialize: bool = False):
+    """(outbox, outcomes) from staged messages and their summaries.
+
+    Both outputs need the summary (the status depends on it). With
+    ``materialize`` the per-message result is written once to the shared
+    checkpoint folder, so writing the outbox and the outcomes does not run
+    the summary plan twice."""
     r = staged.join(summaries, "msg_uid", "left")
     status = classify("parse_ok", "body", "chunks", "error_kind", "summary")
     r = r.withColumn("status", status)
+    if materialize:
+        r = r.checkpoint(eager=True)
     outcomes = r.select("msg_uid", "sender", "subject", "status", "n_chars",
                         "n_tokens", "n_chunks",
                         F.coalesce(F.length("summary"), F.lit(0)).cast("bigint")
@@ -118,7 +126,7 @@ def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig):
 
 
 def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
-               summarizer=None, materialize: bool = True):
+               summarizer=None, materialize: bool = True, both_outputs: bool = False):
     """Plan one run. ``summarizer`` is a plug-in for ``model_fold``; without
     one the built-in extractive sections are used.
 
@@ -126,7 +134,9 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     windows, the final join). With ``materialize`` they are written once to
     the shared checkpoint folder (``spark.checkpoint.dir``), so the scan, the
     full join and the anti join run once, and a lost executor re-reads the
-    checkpoint instead of recomputing the lineage."""
+    checkpoint instead of recomputing the lineage. ``both_outputs`` (set
+    when the caller writes outbox and outcomes) also materializes the
+    per-message result, so the summary plan runs once for both writes."""
     staged = stage(messages, ledger, cfg)
     if materialize:
         checkpoint_root(staged.sparkSession)
@@ -145,7 +155,7 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
             # once, so a retried downstream task reads them instead of asking
             # again and getting different text.
             sums = sums.checkpoint(eager=True)
-    return finish(staged, sums, cfg)
+    return finish(staged, sums, cfg, materialize and both_outputs)
 
 
 def config_from_settings(row) -> RunConfig:
@@ -173,3 +183,11 @@ def write_run(outbox: DataFrame, outcomes: DataFrame, out_dir: str,
     spark = outbox.sparkSession
     written = spark.read.parquet(f"{out_dir}/outcomes").where(F.col("run_id") == run_id)
     append_ledger(written, f"{out_dir}/read_ledger", run_id)
+
+
+def run_and_write(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
+                  out_dir: str, run_id: str, summarizer=None) -> None:
+    """One batch run, written: the summary plan runs once for both outputs,
+    the outbox commits before the ledger moves."""
+    outbox, outcomes = run_digest(messages, ledger, cfg, summarizer, both_outputs=True)
+    write_run(outbox, outcomes, out_dir, run_id)

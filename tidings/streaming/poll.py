@@ -99,7 +99,7 @@ def make_batch_fn(out_dir: str, checkpoint: str, cfg: RunConfig,
             ledger = done if ledger is None else ledger.unionByName(done)
         if ledger is None:
             ledger = spark.createDataFrame([], "msg_uid long")
-        outbox, outcomes = run_digest(msgs, ledger, cfg)
+        outbox, outcomes = run_digest(msgs, ledger, cfg, both_outputs=True)
         _write(outbox, os.path.join(out_dir, "outbox"), sid, batch_id)
         _write(outcomes, os.path.join(out_dir, "outcomes"), sid, batch_id)
         written = (spark.read.schema(_with_keys(outcomes.schema))
