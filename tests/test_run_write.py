@@ -28,3 +28,10 @@ def test_run_write_then_rerun(spark, sf_small):
     left = spark.read.parquet(os.path.join(out, "outcomes")).where("run_id = 'r2'")
     assert left.where("status = 'sent'").count() == 0
     assert left.count() == outcomes.count() - n_sent   # the failures come back
+
+
+def test_empty_source_flows_through(spark, sf_small):
+    from tidings.plans.digest import run_digest
+    msgs = mail_view(spark, sf_small).limit(0)
+    outbox, outcomes = run_digest(msgs, T.read_ledger(spark, sf_small), CFG)
+    assert outbox.count() == 0 and outcomes.count() == 0

@@ -74,7 +74,8 @@ def q_outcome_counts(spark, sf_dir):
 @query("size_stats", f"""{SQL_STAGE}
 SELECT sender, CAST(count(*) AS BIGINT) AS n_messages,
        CAST(min(n_chars) AS BIGINT) AS min_chars, CAST(max(n_chars) AS BIGINT) AS max_chars,
-       CAST(sum(n_chars) AS BIGINT) AS sum_chars, CAST(sum(n_chunks) AS BIGINT) AS sum_chunks,
+       CAST(sum(n_chars) AS BIGINT) AS sum_chars, round(avg(n_chars), 3) AS avg_chars,
+       CAST(sum(n_chunks) AS BIGINT) AS sum_chunks,
        CAST(max(n_tokens) AS BIGINT) AS max_tokens
 FROM oc GROUP BY sender
 """)
