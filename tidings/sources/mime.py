@@ -48,18 +48,32 @@ def _decode(part) -> tuple[str | None, bool]:
         return None, False
 
 
+_STRUCTURE = BytesParser(policy=policy.compat32)
+_HEADERS = policy.default
+
+
+def _header(msg, name: str) -> str | None:
+    """A header as the modern policy gives it (RFC 2047 decoded, unfolded).
+
+    The message structure is parsed with the compat32 policy, which is about
+    five times faster and stores the same raw header text; only the headers
+    the rules read are then decoded the way the default policy would."""
+    v = msg.get(name)
+    return None if v is None else str(_HEADERS.header_fetch_parse(name, v))
+
+
 def parse_one(raw: bytes | None):
     """(parse_ok, sender, subject, is_multipart, parts) for one message."""
     if raw is None:
         return False, None, None, None, None
     try:
-        msg = BytesParser(policy=policy.default).parsebytes(bytes(raw))
-        subject = msg.get("Subject")
-        sender = msg.get("From")
+        msg = _STRUCTURE.parsebytes(bytes(raw))
+        subject = _header(msg, "Subject")
+        sender = _header(msg, "From")
         parts = []
         for ix, part in enumerate(msg.walk()):
             ctype = part.get_content_type()
-            disp = part.get("Content-Disposition")
+            disp = _header(part, "Content-Disposition")
             text, ok = (None, None)
             if part.get_content_maintype() == "text":
                 text, ok = _decode(part)
