@@ -27,7 +27,7 @@ from tidings.operators.prompt import DEFAULT_FOCUS, SYSTEM_PROMPT
 from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subject,
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import append_ledger, unread_from_sender
-from tidings.session import checkpoint_root
+from tidings.session import checkpoint_root, co_partition_by
 
 
 @dataclass(frozen=True)
@@ -139,8 +139,10 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     per-message result, so the summary plan runs once for both writes."""
     staged = stage(messages, ledger, cfg)
     if materialize:
+        # partitioned by message before the checkpoint: the checkpoint keeps
+        # that partitioning, and every summary step keyed by message reuses it
         checkpoint_root(staged.sparkSession)
-        staged = staged.checkpoint(eager=True)
+        staged = co_partition_by(staged, "msg_uid").checkpoint(eager=True)
     if summarizer is None:
         sums = extractive_summaries(staged)
     else:

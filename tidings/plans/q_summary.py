@@ -13,6 +13,7 @@ from tidings.operators.prompt import DEFAULT_FOCUS, prompt_text, sql_prompt
 from tidings.plans.q_mail import sql_strip
 from tidings.plans.q_text import WIN_M, WIN_O, _sql_windows
 from tidings.plans.registry import query
+from tidings.session import co_partition_by
 from tidings.sources import tables as T
 
 SQL_REPLY = f"CASE WHEN role = 'assistant' AND {sql_strip('text')} <> '' THEN {sql_strip('text')} END"
@@ -96,13 +97,20 @@ w AS (SELECT tf.doc_id, tf.term, round(tf.tf * ln((nd.n + 1) / (dfq.df + 1)), 6)
 SQL_WEIGHTS = sql_weights()
 
 
+def _docs_by_id(spark, sf_dir):
+    """documents hash-partitioned by id: the term, sentence and ranking
+    steps below are all keyed by document and reuse this partitioning."""
+    return co_partition_by(T.table(spark, sf_dir, "documents").select("doc_id", "text"),
+                           "doc_id")
+
+
 @query("keywords_topk", f"""
 WITH {SQL_WEIGHTS},
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS kw_rank FROM w)
 SELECT doc_id, CAST(kw_rank AS BIGINT) AS kw_rank, term, score FROM r WHERE kw_rank <= 5
 """)
 def q_keywords_topk(spark, sf_dir):
-    d = T.documents(spark, sf_dir).select("doc_id", "text")
+    d = _docs_by_id(spark, sf_dir)
     kw = X.keywords(X.term_weights(d))
     return kw.select("doc_id", F.col("kw_rank").cast("bigint").alias("kw_rank"),
                      "term", "score")
@@ -139,7 +147,7 @@ docs AS (SELECT doc_id, text FROM documents),
 SELECT d.doc_id, pk.picked AS exec_summary FROM documents d LEFT JOIN pk ON d.doc_id = pk.doc_id
 """)
 def q_executive_summary(spark, sf_dir):
-    d = T.documents(spark, sf_dir).select("doc_id", "text")
+    d = _docs_by_id(spark, sf_dir)
     w = X.term_weights(d)
     units = X.sentence_units(d, ["doc_id"], "text")
     picked = X.top_sentences(units, w, ["doc_id"], X.EXEC_SENTENCES)
@@ -170,6 +178,6 @@ dd AS (SELECT doc_id, string_agg(picked, ' ' ORDER BY chunk_ix) AS detailed,
 SELECT d.doc_id, dd.detailed, dd.n_windows FROM documents d LEFT JOIN dd ON d.doc_id = dd.doc_id
 """)
 def q_detailed_summary(spark, sf_dir):
-    d = T.documents(spark, sf_dir).select("doc_id", "text")
+    d = _docs_by_id(spark, sf_dir)
     w = X.term_weights(d)
     return d.select("doc_id").join(detailed(d, w), "doc_id", "left")

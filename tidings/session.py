@@ -68,3 +68,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def co_partition_by(df, key: str):
+    """Hash-partition ``df`` by ``key`` (a document id) once, so that every
+    later join, aggregation and window keyed by ``key`` plus something else
+    (term, sentence, window) reuses this partitioning instead of shuffling
+    term occurrences again.
+
+    Joins only accept a partitioning on a subset of their keys when
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is false, so it is set
+    on the session here. A document is one row, so partitioning by it cannot
+    put more than one document's rows into a hot key."""
+    df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return df.repartition(key)
