@@ -51,13 +51,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a folder every executor can reach; we only read it.
-    Where it is unset (local tests) we make one and set it, so the same code
-    path runs everywhere.
+    Where it is unset on a local master (tests) we make one and set it, so
+    the same code path runs everywhere; on a cluster an unset folder is an
+    error, never a machine-local fallback.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor "
+                               "can reach; checkpoints must survive a lost executor")
         d = tempfile.mkdtemp(prefix="tidings-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
