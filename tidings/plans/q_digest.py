@@ -43,12 +43,13 @@ SQL_STAGE = f"""
 WITH {SQL_MAIL},
 u AS (SELECT * FROM b WHERE contains(lower(sender), lower('{SENDER}'))
       AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.quality = 1 AND l.doc_id = b.msg_uid)),
-bd AS (SELECT msg_uid, sender,
+bd AS (SELECT msg_uid, sender, fetched,
          CASE WHEN plain <> '' THEN {sql_strip('plain')} WHEN html <> '' THEN {sql_strip('html')} END AS body
        FROM u),
-tk AS (SELECT msg_uid, sender, body, coalesce(len({sql_words('body')}), 0) AS n FROM bd),
+tk AS (SELECT msg_uid, sender, fetched, body, coalesce(len({sql_words('body')}), 0) AS n FROM bd),
 oc AS (SELECT msg_uid, sender,
-         CASE WHEN coalesce(body, '') = '' THEN 'no_body' WHEN n = 0 THEN 'no_chunks' ELSE 'sent' END AS status,
+         CASE WHEN NOT fetched THEN 'fetch_failed' WHEN coalesce(body, '') = '' THEN 'no_body'
+              WHEN n = 0 THEN 'no_chunks' ELSE 'sent' END AS status,
          CAST(coalesce(length(body), 0) AS BIGINT) AS n_chars, CAST(n AS BIGINT) AS n_tokens,
          CAST(CASE WHEN n = 0 THEN 0 WHEN n <= {WIN_M} THEN 1
                    ELSE (n - {WIN_M} + {WIN_M - WIN_O} - 1) // {WIN_M - WIN_O} + 1 END AS BIGINT) AS n_chunks
@@ -215,19 +216,20 @@ def q_render_digest(spark, sf_dir):
 @query("append_original", f"""
 WITH {SQL_MAIL}
 SELECT msg_uid,
-  CAST(CASE WHEN has_doc AND has_page THEN 3 ELSE 2 END AS BIGINT) AS n_elements,
-  md5('text/html:{ORIGINAL_SEPARATOR}' || {_NL} ||
+  CAST(CASE WHEN NOT fetched THEN NULL WHEN has_doc AND has_page THEN 3 ELSE 2 END AS BIGINT) AS n_elements,
+  CASE WHEN fetched THEN md5('text/html:{ORIGINAL_SEPARATOR}' || {_NL} ||
     CASE WHEN has_doc AND has_page THEN
            'text/plain:' || CASE WHEN v = 4 THEN '' ELSE coalesce(pt, '') END || {_NL} ||
            'text/html:' || coalesce(html, '')
          WHEN has_doc THEN
            'text/plain:' || CASE WHEN v = 4 THEN '{ATTACH_FAILED}unknown encoding: x-unknown'
                                  ELSE coalesce(pt, '') END
-         ELSE 'text/html:' || coalesce(html, '') END) AS original_md5
+         ELSE 'text/html:' || coalesce(html, '') END) END AS original_md5
 FROM b
 """)
 def q_append_original(spark, sf_dir):
     m = mail_view(spark, sf_dir)
     e = original_elements("parts", "is_multipart")
-    return m.select("msg_uid", F.size(e).cast("bigint").alias("n_elements"),
-                    F.md5(elements_text(e)).alias("original_md5"))
+    ok = F.col("parse_ok")
+    return m.select("msg_uid", F.when(ok, F.size(e)).cast("bigint").alias("n_elements"),
+                    F.when(ok, F.md5(elements_text(e))).alias("original_md5"))

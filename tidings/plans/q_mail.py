@@ -27,19 +27,19 @@ m AS (
          coalesce(d.source, p.url) AS sender
   FROM documents d FULL OUTER JOIN pages p ON d.doc_id = p.page_id),
 b AS (
-  SELECT msg_uid, v, has_doc, has_page, sender,
+  SELECT msg_uid, v, has_doc, has_page, sender, v <> 9 AS fetched,
     CASE WHEN NOT has_doc THEN NULL
          WHEN v = 2 THEN ''
          WHEN v = 3 THEN ' ' || chr(9) || chr(10) || chr(160)
          WHEN v = 6 THEN chr(12288) || chr(9) || text || chr(10) || chr(160)
          ELSE text END AS pt,
-    CASE WHEN NOT has_doc OR v = 4 OR (has_page AND v = 1) THEN NULL
+    CASE WHEN NOT has_doc OR v IN (4, 9) OR (has_page AND v = 1) THEN NULL
          WHEN v = 2 THEN ''
          WHEN v = 3 THEN ' ' || chr(9) || chr(10) || chr(160)
          WHEN v = 6 THEN chr(12288) || chr(9) || text || chr(10) || chr(160)
          ELSE text END AS plain,
-    html,
-    CASE WHEN v = 7 THEN NULL WHEN v = 8 THEN ''
+    CASE WHEN v = 9 THEN NULL ELSE html END AS html,
+    CASE WHEN v IN (7, 9) THEN NULL WHEN v = 8 THEN ''
          WHEN has_page THEN regexp_extract(html, '(?i)<title>([^<]*)</title>', 1)
          ELSE split_part(text, chr(10), 1) END AS subj
   FROM m)"""

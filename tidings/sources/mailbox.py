@@ -8,7 +8,8 @@ kept; the rule changes a part's headers or text, never drops a message.
 
 From that one source come two equal views of the same mail:
 
-* ``mail_view``: parts as an array column, built with Spark expressions;
+* ``mail_view``: parts as an array column, built with Spark expressions
+  (``parse_ok`` False and no parts where the fetch failed);
 * ``raw_mails``: real RFC 822 bytes (base64 parts, RFC 2047 subject), for
   the MIME parser to take apart again.
 
@@ -33,7 +34,9 @@ from tidings.sources import tables as T
 #   6 plain text wrapped in ideographic space + tab ... newline + no-break space
 #   7 no Subject header
 #   8 empty Subject header
+#   9 the fetch failed: no raw bytes, nothing parsed (a fetch_failed outcome)
 VARIANT_MOD = 10
+FETCH_FAILED = 9
 ATTACH_LOWER = 'attachment; filename="notes.txt"'
 ATTACH_UPPER = 'ATTACHMENT; filename="NOTES.TXT"'
 BLANK_TEXT = " \t\n\u00a0"
@@ -65,11 +68,13 @@ def mail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(text))
     subject = F.when(has_page, F.regexp_extract("html", _TITLE_RE, 1)) \
                .otherwise(F.substring_index(text, "\n", 1))
-    subject = (F.when(v == 7, F.lit(None).cast("string"))
+    fetched = v != FETCH_FAILED
+    subject = (F.when((v == 7) | ~fetched, F.lit(None).cast("string"))
                .when(v == 8, F.lit("")).otherwise(subject))
     return j.select(
         F.col("id").alias("msg_uid"),
         F.coalesce(F.col("source"), F.col("url")).alias("sender"),
+        fetched.alias("fetched"),
         subject.alias("subject"),
         has_doc.alias("has_doc"), has_page.alias("has_page"),
         F.when(has_doc, plain).alias("plain_text"),
@@ -104,11 +109,13 @@ def mail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.when(decoded, F.col("plain_text")), decoded)
     html = _part(html_ix, "text/html", None, "utf-8", F.col("html"), True)
     container = _part(0, "multipart/alternative", None, None, None, None)
-    parts = (F.when(multi, F.array(container, plain, html))
+    parts = (F.when(~F.col("fetched"), F.lit(None).cast(PART_TYPE))
+             .when(multi, F.array(container, plain, html))
              .when(F.col("has_doc"), F.array(plain))
              .otherwise(F.array(html))).cast(PART_TYPE)
     return s.select("msg_uid", "sender", "subject",
-                    multi.alias("is_multipart"), parts.alias("parts"))
+                    F.when(F.col("fetched"), multi).alias("is_multipart"),
+                    parts.alias("parts"), F.col("fetched").alias("parse_ok"))
 
 
 def _b64(text: Column) -> Column:
@@ -152,7 +159,8 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(f"--{BOUNDARY}--{CRLF}"))
     single_plain = F.concat(top, plain_h, F.lit(CRLF), plain_b, F.lit(CRLF))
     single_html = F.concat(top, html_h, F.lit(CRLF), html_b, F.lit(CRLF))
-    raw = (F.when(multi, multipart).when(F.col("has_doc"), single_plain)
+    raw = (F.when(~F.col("fetched"), F.lit(None).cast("string"))
+           .when(multi, multipart).when(F.col("has_doc"), single_plain)
            .otherwise(single_html))
     return s.select("msg_uid", F.encode(raw, "utf-8").alias("raw"))
 
