@@ -58,3 +58,28 @@ def test_eml_files_parse(spark):
     got = {r.msg_uid: r for r in select_body(parse_mime(raw)).collect()}
     assert sorted(got) == [7, 8]
     assert got[7].body == "first mail" and got[8].subject == "mail 8"
+
+
+def test_tokenizer_error_is_a_message_outcome(spark, sf_small):
+    from tidings.plans.digest import RunConfig, run_digest
+    from tidings.sources import tables as T
+    from tidings.streaming.poll import documents_as_messages
+    docs = T.documents(spark, sf_small).withColumn(
+        "text", F.when(F.col("doc_id") % 7 == 0,
+                       F.concat("text", F.lit(" <|endoftext|>"))).otherwise(F.col("text")))
+    msgs = documents_as_messages(docs)
+    ledger = spark.createDataFrame([], "msg_uid long")
+    plug = RunConfig(sender="src", max_tokens=400, overlap=50,
+                     tokenizer=DisallowSpecial(WordTokenizer()))
+    _, oc = run_digest(msgs, ledger, plug)
+    got = {r.msg_uid: r for r in oc.collect()}
+    assert {u for u, r in got.items() if r.status == "tokenizer_error"} == \
+        {u for u in got if u % 7 == 0}
+    # where it can encode, the plug-in word path cuts the built-in windows
+    _, oc2 = run_digest(msgs, ledger, RunConfig(sender="src", max_tokens=400, overlap=50))
+    for r in oc2.collect():
+        if r.msg_uid % 7:
+            assert (r.n_chunks, r.n_tokens, r.status) == \
+                (got[r.msg_uid].n_chunks, got[r.msg_uid].n_tokens, got[r.msg_uid].status)
+    with pytest.raises(TokenizerError):
+        run_digest(msgs, ledger, RunConfig(sender="src", tokenizer="no-such-encoding"))

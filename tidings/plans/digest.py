@@ -27,6 +27,7 @@ from tidings.operators.prompt import DEFAULT_FOCUS, SYSTEM_PROMPT
 from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subject,
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import append_ledger, unread_from_sender
+from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
 from tidings.session import checkpoint_root, co_partition_by
 
 
@@ -44,20 +45,36 @@ class RunConfig:
     system_prompt: str = SYSTEM_PROMPT
     subject_prefix: str = SUBJECT_PREFIX
     initial_context: str = ""
+    # "words": the built-in JVM word windows; another name is resolved by
+    # ``tokenize.get_tokenizer``; an object with encode/decode is used as is.
+    tokenizer: object = "words"
 
 
 def stage(messages: DataFrame, ledger: DataFrame, cfg: RunConfig) -> DataFrame:
     """Unread messages of the sender with body, subject and windows.
 
     ``messages`` has ``msg_uid, sender, subject, is_multipart, parts`` and
-    optionally ``parse_ok`` (from the MIME job)."""
+    optionally ``parse_ok`` (from the MIME job). A plug-in tokenizer is
+    resolved here, on the driver, so an unknown name stops the run before
+    any job (T6); a text it cannot encode gets NULL windows, which the
+    outcome rules report as ``tokenizer_error`` for that message only."""
+    tokenizer = cfg.tokenizer
+    if isinstance(tokenizer, str) and tokenizer != "words":
+        tokenizer = get_tokenizer(tokenizer)
     u = unread_from_sender(messages, ledger, cfg.sender)
     if "parse_ok" not in u.columns:
         u = u.withColumn("parse_ok", F.lit(True))
     b = select_body(u).withColumn("subject", subject_or_fallback("subject", "msg_uid"))
-    c = chunk_text(b, "body", cfg.max_tokens, cfg.overlap)
+    if tokenizer == "words":
+        c = chunk_text(b, "body", cfg.max_tokens, cfg.overlap)
+        n_tokens = F.coalesce(F.size("tok"), F.lit(0))
+    else:
+        w = tokenizer_windows(b, "msg_uid", "body", cfg.max_tokens, cfg.overlap, tokenizer)
+        c = b.join(w.drop("error_kind").withColumnRenamed("n_tokens", "tok"),
+                   "msg_uid", "left")
+        n_tokens = F.coalesce(F.col("tok"), F.lit(0))
     return (c.withColumn("n_chars", F.coalesce(F.length("body"), F.lit(0)).cast("bigint"))
-             .withColumn("n_tokens", F.coalesce(F.size("tok"), F.lit(0)).cast("bigint"))
+             .withColumn("n_tokens", n_tokens.cast("bigint"))
              .withColumn("n_chunks", F.coalesce(F.size("chunks"), F.lit(0)).cast("bigint"))
              .drop("tok"))
 
