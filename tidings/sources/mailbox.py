@@ -51,10 +51,12 @@ _TITLE_RE = "(?i)<title>([^<]*)</title>"
 
 def mail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per message: ids, sender, subject and the raw part fields."""
-    d = T.documents(spark, sf_dir).select(
+    # plain scans: the full outer join below shuffles both sides by id, which
+    # already spreads the rows (a round-robin spread first would be wasted)
+    d = T.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), "source", "text",
         F.lit(True).alias("has_doc"))
-    p = T.pages(spark, sf_dir).select(
+    p = T.table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), "url", "html",
         F.lit(True).alias("has_page"))
     j = d.join(p, on="id", how="full_outer")
