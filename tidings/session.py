@@ -75,14 +75,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def co_partition_by(df, key: str):
-    """Hash-partition ``df`` by ``key`` (a document id) once, so that every
-    later join, aggregation and window keyed by ``key`` plus something else
-    (term, sentence, window) reuses this partitioning instead of shuffling
-    term occurrences again.
+    """Hash-partition ``df`` by ``key`` (a document id) once, so that the
+    aggregations and windows keyed by ``key`` plus something else (term,
+    sentence, window) reuse this partitioning instead of shuffling term
+    occurrences again. A document is one row, so this cannot put more than
+    one document's rows under a hot key.
 
-    Joins only accept a partitioning on a subset of their keys when
-    ``spark.sql.requireAllClusterKeysForCoPartition`` is false, so it is set
-    on the session here. A document is one row, so partitioning by it cannot
-    put more than one document's rows into a hot key."""
-    df.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    Joins keep Spark's default of co-partitioning on all their keys
+    (``spark.sql.requireAllClusterKeysForCoPartition``): relaxing it lets a
+    (doc, term) join reuse a partitioning by ``term`` alone, which puts every
+    occurrence of a frequent term into one task."""
     return df.repartition(key)
