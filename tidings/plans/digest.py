@@ -28,7 +28,7 @@ from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subj
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import append_ledger, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
-from tidings.session import checkpoint_root, co_partition_by
+from tidings.session import checkpoint_root, co_partition_by, materialize_by_key
 
 
 @dataclass(frozen=True)
@@ -158,8 +158,7 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     if materialize:
         # partitioned by message before the checkpoint: the checkpoint keeps
         # that partitioning, and every summary step keyed by message reuses it
-        checkpoint_root(staged.sparkSession)
-        staged = co_partition_by(staged, "msg_uid").checkpoint(eager=True)
+        staged = materialize_by_key(staged, "msg_uid", "tidings_staged")
     if summarizer is None:
         sums = extractive_summaries(staged)
     else:

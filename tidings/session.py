@@ -86,3 +86,20 @@ def co_partition_by(df, key: str):
     (doc, term) join reuse a partitioning by ``term`` alone, which puts every
     occurrence of a frequent term into one task."""
     return df.repartition(key)
+
+
+def materialize_by_key(df, key: str, name: str):
+    """Write ``df`` once as a table bucketed by ``key`` under the shared
+    checkpoint folder and read it back.
+
+    Like ``checkpoint()`` it cuts the lineage (a lost executor re-reads the
+    files), and unlike it the read keeps a known hash partitioning by
+    ``key``, so aggregations, windows and joins keyed by ``key`` downstream
+    need no shuffle."""
+    import uuid
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.bucketBy(n, key).mode("overwrite")
+       .option("path", scratch_path(spark, "tables", table)).saveAsTable(table))
+    return spark.table(table)
