@@ -28,7 +28,7 @@ from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subj
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import append_ledger, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
-from tidings.session import checkpoint_root, co_partition_by, materialize_by_key
+from tidings.session import materialize_by_key
 
 
 @dataclass(frozen=True)
