@@ -24,8 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as ST
 
+
 from tidings.functions.text import SENTENCE_RE, WHITESPACE
 from tidings.operators.prompt import DEFAULT_FOCUS, SYSTEM_PROMPT, prompt_py
+from tidings.session import ship_package
 
 
 class SummarizerError(Exception):
@@ -130,4 +132,5 @@ def model_fold(df: DataFrame, key: str, chunks_col: str, summarizer,
                  pa.array(e, pa.string()), pa.array(n, pa.int64())],
                 names=[key, "summary", "error_kind", "n_calls"])
 
+    ship_package(df.sparkSession)
     return df.select(key, chunks_col).mapInArrow(run, schema)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as ST
 
+from tidings.session import ship_package
+
 
 class TokenizerError(Exception):
     pass
@@ -141,5 +143,6 @@ def tokenizer_windows(df: DataFrame, key: str, text: str, m: int, o: int,
                  pa.array(chunks, pa.list_(CHUNK_STRUCT)), pa.array(errs, pa.string())],
                 names=[key, "n_tokens", "chunks", "error_kind"])
 
+    ship_package(df.sparkSession)
     return df.select(key, text).mapInArrow(run, schema)
 

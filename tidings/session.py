@@ -103,3 +103,32 @@ def materialize_by_key(df, key: str, name: str):
     (df.write.bucketBy(n, key).mode("overwrite")
        .option("path", scratch_path(spark, "tables", table)).saveAsTable(table))
     return spark.table(table)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidings`` importable in the Python workers, once per application.
+
+    The Arrow-batched steps (MIME parsing, plug-in summarizers and
+    tokenizers) are pickled by reference to their module, so a worker must
+    be able to import the package. The package's sources are zipped on the
+    driver and added with ``SparkContext.addPyFile``, which Spark ships to
+    every executor (on a cluster as well as in local mode)."""
+    import zipfile
+
+    import tidings
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(tidings.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidings-pkg-"), "tidings.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for base, _, files in os.walk(root):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(base, fn)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -16,6 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as ST
 
+from tidings.session import ship_package
+
+
 PART_STRUCT = pa.struct([
     ("part_ix", pa.int32()), ("content_type", pa.string()),
     ("disposition", pa.string()), ("charset", pa.string()),
@@ -105,4 +108,5 @@ def _parse_batches(batches):
 
 def parse_mime(raw: DataFrame) -> DataFrame:
     """``(msg_uid BIGINT, raw BINARY)`` to parsed messages with ``parts``."""
+    ship_package(raw.sparkSession)
     return raw.select("msg_uid", "raw").mapInArrow(_parse_batches, PARSED_SCHEMA)
