@@ -71,12 +71,14 @@ def doc_terms(docs: DataFrame, key: str = "doc_id",
 
 
 def term_weights(docs: DataFrame, key: str = "doc_id",
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", n_docs: Column | None = None) -> DataFrame:
     """(key, term, tf, df, score).
 
     ``score = round(tf * ln((n_docs + 1) / (df + 1)), 6)``, with ``n_docs``
-    every row of ``docs`` (a lazy scalar subquery)."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    every row of ``docs`` (a lazy scalar subquery). Pass ``n_docs`` when
+    ``docs`` is repartitioned: counting the plain scan needs no shuffle."""
+    if n_docs is None:
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
     tf = doc_terms(docs, key, text).groupBy(key, "term").agg(
         F.count(F.lit(1)).alias("tf"))
     # df: the documents where the term occurs (tf > 0). Reading tf here keeps

@@ -98,10 +98,11 @@ SQL_WEIGHTS = sql_weights()
 
 
 def _docs_by_id(spark, sf_dir):
-    """documents hash-partitioned by id: the term, sentence and ranking
-    steps below are all keyed by document and reuse this partitioning."""
-    return co_partition_by(T.table(spark, sf_dir, "documents").select("doc_id", "text"),
-                           "doc_id")
+    """documents hash-partitioned by id (the term, sentence and ranking steps
+    below are keyed by document and reuse this partitioning), and the
+    document count taken from the plain scan (parquet metadata, no shuffle)."""
+    raw = T.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return co_partition_by(raw, "doc_id"), raw.select(F.count(F.lit(1))).scalar()
 
 
 @query("keywords_topk", f"""
@@ -110,8 +111,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term
 SELECT doc_id, CAST(kw_rank AS BIGINT) AS kw_rank, term, score FROM r WHERE kw_rank <= 5
 """)
 def q_keywords_topk(spark, sf_dir):
-    d = _docs_by_id(spark, sf_dir)
-    kw = X.keywords(X.term_weights(d))
+    d, n = _docs_by_id(spark, sf_dir)
+    kw = X.keywords(X.term_weights(d, n_docs=n))
     return kw.select("doc_id", F.col("kw_rank").cast("bigint").alias("kw_rank"),
                      "term", "score")
 
@@ -147,8 +148,8 @@ docs AS (SELECT doc_id, text FROM documents),
 SELECT d.doc_id, pk.picked AS exec_summary FROM documents d LEFT JOIN pk ON d.doc_id = pk.doc_id
 """)
 def q_executive_summary(spark, sf_dir):
-    d = _docs_by_id(spark, sf_dir)
-    w = X.term_weights(d)
+    d, n = _docs_by_id(spark, sf_dir)
+    w = X.term_weights(d, n_docs=n)
     units = X.sentence_units(d, ["doc_id"], "text")
     picked = X.top_sentences(units, w, ["doc_id"], X.EXEC_SENTENCES)
     return d.select("doc_id").join(picked, "doc_id", "left").select(
@@ -178,6 +179,6 @@ dd AS (SELECT doc_id, string_agg(picked, ' ' ORDER BY chunk_ix) AS detailed,
 SELECT d.doc_id, dd.detailed, dd.n_windows FROM documents d LEFT JOIN dd ON d.doc_id = dd.doc_id
 """)
 def q_detailed_summary(spark, sf_dir):
-    d = _docs_by_id(spark, sf_dir)
-    w = X.term_weights(d)
+    d, n = _docs_by_id(spark, sf_dir)
+    w = X.term_weights(d, n_docs=n)
     return d.select("doc_id").join(detailed(d, w), "doc_id", "left")
