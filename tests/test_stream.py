@@ -42,3 +42,32 @@ def test_poll_first_idle_overlap_replay(spark, sf_small):
     poll(spark, os.path.join(src, "a"), out, os.path.join(base, "ck2"), CFG)
     ids = _outbox_ids(spark, out)
     assert len(ids) == len(set(ids)) == 150
+
+
+def test_failed_messages_come_back_next_batch(spark, sf_small):
+    base = tempfile.mkdtemp(prefix="tidings-retry-")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").withColumn(
+        "text", F.when(F.col("doc_id") % 10 == 0, F.lit("   ")).otherwise(F.col("text")))
+    docs.where(F.col("doc_id") < 50).coalesce(1).write.parquet(os.path.join(base, "a"))
+    os.makedirs(src)
+    for name, d in (("a", os.path.join(base, "a")),):
+        part = [f for f in os.listdir(d) if f.endswith(".parquet")][0]
+        shutil.copy(os.path.join(d, part), os.path.join(src, f"part-{name}.parquet"))
+    poll(spark, src, out, ck, CFG)
+    oc = spark.read.parquet(os.path.join(out, "outcomes"))
+    assert sorted(r.msg_uid for r in oc.where("status = 'no_body'").collect()) == \
+        [0, 10, 20, 30, 40]
+    docs.where((F.col("doc_id") >= 50) & (F.col("doc_id") < 60)).coalesce(1) \
+        .write.parquet(os.path.join(base, "b"))
+    part = [f for f in os.listdir(os.path.join(base, "b")) if f.endswith(".parquet")][0]
+    shutil.copy(os.path.join(base, "b", part), os.path.join(src, "part-b.parquet"))
+    poll(spark, src, out, ck, CFG)
+    oc = spark.read.parquet(os.path.join(out, "outcomes"))
+    last = oc.where(F.col("batch_id") == oc.agg(F.max("batch_id")).first()[0])
+    got = {r.msg_uid: r.status for r in last.collect()}
+    # the failures of the first batch are tried again with the new file
+    assert {0, 10, 20, 30, 40} <= set(got) and got[0] == "no_body"
+    assert {u for u, st in got.items() if st == "sent"} == set(range(51, 60))
+    sent = [r.msg_uid for r in spark.read.parquet(os.path.join(out, "outbox")).collect()]
+    assert len(sent) == len(set(sent)) == 45 + 9
