@@ -88,7 +88,7 @@ def test_settings_drive_a_run(spark, raw, sf_small):
     cfg = config_from_settings(rows["good"].asDict())
     assert cfg.max_tokens == 300 and cfg.overlap == 200 and cfg.forward is False
     msgs = documents_as_messages(T.documents(spark, sf_small)).withColumn(
-        "sender", F.lit("Stratechery <SENDER@example.com>"))
+        "sender", F.lit("Newsletter <SENDER@example.com>"))
     outbox, outcomes = run_digest(msgs, T.read_ledger(spark, sf_small), cfg)
     n_unread = T.documents(spark, sf_small).join(
         T.read_ledger(spark, sf_small).withColumnRenamed("msg_uid", "doc_id"),

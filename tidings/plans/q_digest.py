@@ -10,6 +10,7 @@ from tidings.functions.text import SENTENCE_RE
 from tidings.operators.model import LeadSentence, model_fold
 from tidings.operators.outcomes import outcome_counts, size_stats
 from tidings.operators.render import (ATTACH_FAILED, DEFAULT_MODEL, ORIGINAL_SEPARATOR,
+                                      SUBJECT_DEFAULT, SUBJECT_PREFIX,
                                       elements_text, info_header, inject_header,
                                       original_elements)
 from tidings.operators.state import ledger_after_run
@@ -142,8 +143,8 @@ sm AS (SELECT *, {head} || {_sec(t_exec, 'ex')} || {_sec(t_kw, 'keywords')} || {
               AS summary FROM sec),
 hd AS (SELECT *, strpos(summary, '<body>') AS pos FROM sm WHERE summary <> '')
 SELECT doc_id AS msg_uid, '{CFG.from_addr}' AS from_addr, '{CFG.to_addr}' AS to_addr,
-  coalesce(nullif('tldr Summary: ' || coalesce(subj, 'Email UID ' || doc_id || ' (No Subject)'), ''),
-           'tldr Summary') AS subject,
+  coalesce(nullif('{SUBJECT_PREFIX}' || coalesce(subj, 'Email UID ' || doc_id || ' (No Subject)'), ''),
+           '{SUBJECT_DEFAULT}') AS subject,
   replace(replace(CASE WHEN pos > 0 THEN substr(summary, 1, pos + 5) || '{_HDR}' || substr(summary, pos + 6)
                        ELSE '{_HDR}' || summary END, '```html', ''), '```', '') AS html,
   'text/html:{ORIGINAL_SEPARATOR}' || {_NL} ||

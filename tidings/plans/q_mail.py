@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import WHITESPACE
 from tidings.operators.body import select_body, subject_or_fallback
-from tidings.operators.render import digest_subject
+from tidings.operators.render import SUBJECT_DEFAULT, SUBJECT_PREFIX, digest_subject
 from tidings.plans.registry import query
 from tidings.sources.mailbox import mail_view, raw_mails
 from tidings.sources.mime import parse_mime
@@ -56,7 +56,7 @@ SQL_SUBJECT = f"""
 WITH {SQL_MAIL},
 s AS (SELECT msg_uid, coalesce(subj, 'Email UID ' || msg_uid || ' (No Subject)') AS subject FROM b)
 SELECT msg_uid, subject,
-       coalesce(nullif('tldr Summary: ' || subject, ''), 'tldr Summary') AS digest_subject
+       coalesce(nullif('{SUBJECT_PREFIX}' || subject, ''), '{SUBJECT_DEFAULT}') AS digest_subject
 FROM s
 """
 
