@@ -124,11 +124,11 @@ def successors(docs: DataFrame) -> DataFrame:
             .select("doc_id", F.coalesce("next_id", "ahead").alias("next_id")))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint, near_edited, near_next."""
-    rows = docs.select("doc_id", whole_text().alias("text"))
-    following = cut(successors(docs))
+def with_edited(docs: DataFrame, following: DataFrame) -> DataFrame:
+    """(doc_id, n_chars, text, edited) per row. The texts are dealt out by id once:
+    the rows as successors and the rows themselves read the same shuffle."""
+    every = docs.select("doc_id", whole_text().alias("text"))
+    rows = every.where(F.col("doc_id").isNotNull())
     quarter = F.floor(F.length("text") / 4).cast("int")
     wanted = (rows.groupBy("doc_id").agg(F.max(quarter).alias("need"))
               .join(following, "doc_id")
@@ -136,10 +136,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     leading = (rows.join(wanted, F.col("doc_id") == F.col("next_id"))
                .select("for_id", F.substring("text", F.lit(1), F.col("need")).alias("lead"))
                .groupBy("for_id").agg(F.min("lead").alias("lead")))
-    both = (rows.join(leading, F.col("doc_id") == F.col("for_id"), "left")
-            .select("doc_id", F.length("text").cast("long").alias("n_chars"), "text", F.concat(
-                F.substring("text", F.lit(1), (F.length("text") - quarter).cast("int")),
-                F.substring(F.coalesce("lead", F.lit("")), F.lit(1), quarter)).alias("edited")))
+    led = rows.join(leading, F.col("doc_id") == F.col("for_id"), "left").select("doc_id", "text", "lead")
+    without = every.where(F.col("doc_id").isNull()).withColumn("lead", F.lit(""))
+    return led.unionByName(without).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), "text", F.concat(
+            F.substring("text", F.lit(1), (F.length("text") - quarter).cast("int")),
+            F.substring(F.coalesce("lead", F.lit("")), F.lit(1), quarter)).alias("edited"))
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint,
+    edited_fingerprint, near_edited, near_next."""
+    following = cut(successors(docs))
+    both = with_edited(docs, following)
     done = add_fingerprint(add_fingerprint(both, "text", "own").drop("text"), "edited", "new")
     done = cut(done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "new"))
     ahead = (done.groupBy("doc_id").agg(F.min("own").alias("next_own"))
