@@ -101,7 +101,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     off = F.aggregate(F.zip_with(a, b, unequal), F.lit(0), lambda acc, x: acc + x)
     chance = 1 / 256
-    return F.greatest(F.lit(0.0), (1 - off / F.lit(float(BINS)) - chance) / (1 - chance))
+    return F.when(off.isNotNull(), F.greatest(F.lit(0.0), (1 - off / F.lit(float(BINS)) - chance) / (1 - chance)))
 
 
 def as_text(packed: Column) -> Column:

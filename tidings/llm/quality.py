@@ -224,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[np.nd
         key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
     learn = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (fold_of() != 0))
     prior = learn.agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    x = np.array([r[2] for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([r[2] for r in rows], np.float64).reshape(len(rows), 4 * p.dim + 2)
     return table, train(x, np.array([r[1] for r in rows], np.float64), prior or 0.0, p)
 
 
