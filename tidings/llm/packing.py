@@ -12,10 +12,10 @@ Each task packs the documents of its own input split, streaming: nothing is
 shuffled, memory is bounded by the pool of waiting pieces, and a lost task is
 repeated alone with the same sequence ids (task number and a counter).
 
-``ids`` of a text come from the tokenizer file in batches of distinct chunks: a
-byte-level tokenizer never joins a non-space with the space behind it, so a
-text is cut before each space that starts a word, and chunks seen before
-are taken from a bounded cache.
+The ids are those of the tokenizer file. Where the file is a byte-level BPE whose
+ids follow its merges, its vocabulary is run by the faster of the two installed BPE
+libraries, which gives the same ids; texts that hold a special token, or a run of
+spaces too long for that library's expression, take the file's own library.
 
 Loss: for instruction data the first token of a segment has nothing before
 it to be predicted from and bears no loss; all others do.
@@ -27,6 +27,7 @@ whatever their names, are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from dataclasses import dataclass
@@ -39,8 +40,7 @@ from pyspark.sql import types as T
 from tidings.llm.common import whole_text
 from tidings.session import ship_package
 
-CUT = re.compile(r" (?=\S)")
-ODD = re.compile(r" (?:\s|\Z)")
+LONG_SPACE = re.compile(r"\s{1000}")
 
 
 @dataclass(frozen=True)
@@ -50,40 +50,55 @@ class Params:
     loss: int = 2047          # loss-bearing tokens of a sequence
     end_id: int = 1
     pool: int = 1024          # pieces that wait for a place
-    cache: int = 400_000      # chunks a task remembers
-    chunk: int = 64           # longest chunk remembered
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text cut before every single space that starts a word."""
-    parts = CUT.split(text) if ODD.search(text) else text.split(" ")
-    return parts[:1] + [" " + c for c in parts[1:]] if text else []
+def merge_ranks(tokenizer) -> dict[bytes, int] | None:
+    """Token bytes to id, where the file is a byte-level BPE whose ids follow its merges."""
+    spec = json.loads(tokenizer.to_str())
+    model, before = spec["model"], spec["pre_tokenizer"] or {}
+    if (model["type"] != "BPE" or spec["normalizer"] or before.get("type") != "ByteLevel"
+            or before.get("add_prefix_space") or not before.get("use_regex", True)):
+        return None
+    # the printable stand-ins of byte-level BPE: printable bytes stand for themselves
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in plain}
+    byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in byte_of.values())}
+    vocab, merges = model["vocab"], model["merges"]
+    for i, m in enumerate(merges):
+        if vocab.get("".join(m if isinstance(m, list) else m.split(" "))) != 256 + i:
+            return None
+    return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if i < 256 + len(merges)}
 
 
 class Encoder:
-    """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of whole texts, as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, p: Params):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.p, self.known = Tokenizer.from_file(path), p, {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast, ranks = None, merge_ranks(self.tokenizer)
+        if ranks:
+            import public_tokenizers
+            import tiktoken
+            self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                          special_tokens={})
 
     def __call__(self, text: str) -> bytes:
-        known, parts = self.known, chunks_of(text)
-        new = list({c for c in parts if c not in known})
-        if len(known) + len(new) > self.p.cache:
-            known.clear()
-            new = list(set(parts))
-        for lo in range(0, len(new), 10_000):
-            known.update(zip(new[lo:lo + 10_000], self._encode(new[lo:lo + 10_000])))
-        out = b"".join([known[c] for c in parts])
-        for c in new:
-            if len(c) > self.p.chunk:
-                del known[c]
-        return out
+        if self.fast and not any(t in text for t in self.special) and not LONG_SPACE.search(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_ENCODERS: dict = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process: a tokenizer file takes long to load and much memory to load again."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class Packer:
@@ -177,7 +192,7 @@ def pack(docs: DataFrame, path: str | None = None, p: Params = Params()) -> Data
 
     def run(batches):
         from pyspark import TaskContext
-        encode = Encoder(path, p)
+        encode = encoder(path)
         packer = Packer(p, TaskContext.get().partitionId() << 40)
         end = np.array([p.end_id], "<u4").tobytes()
         kind = None

@@ -48,7 +48,7 @@ class Params:
     rate: float = 0.01
     decay: float = 1e-4
     seed: int = 11
-    cache: int = 300_000      # words a task remembers
+    cache: int = 100_000      # words a task remembers
 
 
 def index_vectors(p: Params) -> tuple[np.ndarray, np.ndarray]:

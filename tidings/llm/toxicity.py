@@ -47,7 +47,7 @@ class Params:
     emb_step: float = 1000.0   # length of a step of the embeddings against the softmax's
     prior: float = 0.25       # share of class 1 that the rows' weights make up
     seed: int = 7
-    cache: int = 300_000      # words a task remembers
+    cache: int = 100_000      # words a task remembers
 
 
 def subwords(word: str, p: Params) -> list[int]:
