@@ -80,8 +80,9 @@ def copies(docs: DataFrame) -> DataFrame:
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                      F.lit(True).alias("kept"), "text_sha256"))
     again = marked.where("suspect").select("doc_id", "text_sha256")
-    groups = again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"),
-                                              F.count(F.lit(1)).alias("group_size"))
+    # written out, so that the join deals both sides anew and a hot group's rows can be split
+    groups = cut(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"),
+                                                  F.count(F.lit(1)).alias("group_size")))
     rest = (again.join(groups, "text_sha256")
             .select("doc_id", "keep_id", "group_size",
                     F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
