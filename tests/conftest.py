@@ -10,9 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidings.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=4)
+    s = get_spark("local[4]", shuffle_partitions=4,
+                  extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("ckpt"))})
     yield s
     s.stop()
 

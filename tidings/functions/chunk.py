@@ -25,11 +25,9 @@ from pyspark.sql import functions as F
 from tidings.functions.text import col_, words
 
 # --- fixed values -----------------------------------------------------------
-# Window size and overlap used by the digest run, and the overlap a bare call
-# to the chunk function defaults to.
+# Window size and overlap used by the digest run.
 DEFAULT_MAX_TOKENS = 4000
 DEFAULT_OVERLAP_RUN = 200
-DEFAULT_OVERLAP_FN = 50
 # ---------------------------------------------------------------------------
 
 CHUNK_TYPE = ("array<struct<chunk_ix:int,start_tok:int,n_tok:int,"

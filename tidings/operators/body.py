@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import col_, nonblank, py_strip
 
-PART_FIELDS = ("part_ix int, content_type string, disposition string, "
-               "charset string, text string, decode_ok boolean")
 PART_TYPE = ("array<struct<part_ix:int,content_type:string,"
              "disposition:string,charset:string,text:string,"
              "decode_ok:boolean>>")
@@ -68,11 +66,6 @@ def select_body(df: DataFrame, parts: str = "parts",
              .drop("body_plain", "body_html"))
 
 
-def has_body(body="body") -> Column:
-    """False for NULL or empty body."""
-    return F.coalesce(col_(body), F.lit("")) != F.lit("")
-
-
 def subject_or_fallback(subject="subject", uid="msg_uid") -> Column:
     """A missing header gets the fallback; an empty one stays empty."""
     return F.coalesce(col_(subject),

@@ -63,6 +63,21 @@ class LeadSentence:
         return out
 
 
+def _replies(summarizer, reqs) -> list:
+    """A reply or an exception for each request. A raised call is repeated one
+    request at a time, so that only the requests that fail alone fail: which
+    documents shared a batch makes no difference."""
+    try:
+        replies = list(summarizer(reqs))
+        if len(replies) != len(reqs):
+            raise SummarizerError("api", "reply count does not match")
+        return replies
+    except Exception as e:  # noqa: BLE001  (a plug-in may raise anything)
+        if len(reqs) == 1:
+            return [e]
+    return [_replies(summarizer, [r])[0] for r in reqs]
+
+
 def fold_documents(chunk_lists, summarizer, focus=DEFAULT_FOCUS,
                    system_prompt=SYSTEM_PROMPT, initial_context=""):
     """Fold many documents' windows, round by round. Returns
@@ -84,13 +99,7 @@ def fold_documents(chunk_lists, summarizer, focus=DEFAULT_FOCUS,
             reqs.append({"messages": [{"role": "system", "content": system_prompt},
                                       {"role": "user", "content": user}],
                          "context": ctx[i], "chunk": chunk, "chunk_ix": rnd})
-        try:
-            replies = list(summarizer(reqs))
-            if len(replies) != len(reqs):
-                raise SummarizerError("api", "reply count does not match")
-        except Exception as e:  # noqa: BLE001  (fails this call's documents)
-            replies = [e] * len(reqs)
-        for i, r in zip(live, replies):
+        for i, r in zip(live, _replies(summarizer, reqs)):
             calls[i] += 1
             if isinstance(r, BaseException):
                 err[i] = error_kind(r)

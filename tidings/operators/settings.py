@@ -72,17 +72,11 @@ def settings_long(raw_df: DataFrame) -> DataFrame:
     """(subscription, key, value, json_type). ``value`` is the JSON value as
     text (NULL for JSON null); ``json_type`` is STRING, BOOLEAN, BIGINT, ...
     or VOID for null. Unreadable objects give no rows (see ``rejects``)."""
-    ok = raw_df.where(_object_ok(F.col("raw")))
-    schema = F.schema_of_variant(F.try_parse_json("raw"))
-    types = F.str_to_map(F.regexp_replace(schema, "^OBJECT<|>$", ""),
-                         F.lit(", "), F.lit(": "))
-    kv = ok.select("subscription", types.alias("types"),
-                   F.explode(F.from_json("raw", "map<string,string>")).alias("key", "value"))
-    return kv.select("subscription", "key", "value",
-                     F.element_at("types", F.concat(F.lit("`"), "key", F.lit("`")))
-                     .alias("_qt"), F.element_at("types", F.col("key")).alias("_t")) \
-             .select("subscription", "key", "value",
-                     F.coalesce("_t", "_qt").alias("json_type"))
+    ok = raw_df.where(_object_ok(F.col("raw"))).withColumn("object", F.try_parse_json("raw"))
+    entries = raw_df.sparkSession.tvf.variant_explode(F.col("object").outer())
+    return ok.lateralJoin(entries).select(
+        "subscription", "key", F.col("value").cast("string").alias("value"),
+        F.schema_of_variant("value").alias("json_type"))
 
 
 def _pivot(long_df: DataFrame) -> DataFrame:
