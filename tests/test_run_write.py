@@ -35,3 +35,13 @@ def test_empty_source_flows_through(spark, sf_small):
     msgs = mail_view(spark, sf_small).limit(0)
     outbox, outcomes = run_digest(msgs, T.read_ledger(spark, sf_small), CFG)
     assert outbox.count() == 0 and outcomes.count() == 0
+
+
+def test_rerun_without_rows_clears_the_earlier_attempt(spark, sf_small):
+    out = tempfile.mkdtemp(prefix="tidings-rerun-")
+    msgs = mail_view(spark, sf_small)
+    run_and_write(msgs, T.read_ledger(spark, sf_small), CFG, out, "r1")
+    assert spark.read.parquet(os.path.join(out, "outbox")).count() > 0
+    run_and_write(msgs.limit(0), T.read_ledger(spark, sf_small), CFG, out, "r1")
+    for name in ("outbox", "outcomes", "read_ledger"):
+        assert spark.read.parquet(os.path.join(out, name)).count() == 0

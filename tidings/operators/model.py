@@ -128,16 +128,14 @@ def model_fold(df: DataFrame, key: str, chunks_col: str, summarizer,
     key_field = df.schema[key]
     schema = ST.StructType([ST.StructField(key, key_field.dataType)] +
                            [ST.StructField(n, t) for n, t in FOLD_SCHEMA_FIELDS])
-    key_type = pa.int64() if isinstance(key_field.dataType, ST.LongType) else pa.string()
 
     def run(batches):
         for b in batches:
-            keys = b.column(0).to_pylist()
             lists = [[c["chunk"] for c in (cs or [])] for cs in b.column(1).to_pylist()]
             s, e, n = fold_documents(lists, summarizer, focus, system_prompt,
                                      initial_context)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), pa.array(s, pa.string()),
+                [b.column(0), pa.array(s, pa.string()),
                  pa.array(e, pa.string()), pa.array(n, pa.int64())],
                 names=[key, "summary", "error_kind", "n_calls"])
 

@@ -49,6 +49,22 @@ def classify(fetch_ok, body, chunks, error_kind, summary,
             .otherwise(F.lit("sent")))
 
 
+def confirm_sends(outcomes: DataFrame, deliveries: DataFrame, uid: str = "msg_uid") -> DataFrame:
+    """Outcomes after sending. ``deliveries`` has, for each message that was handed
+    over, ``uid``, ``delivered`` and ``send_error`` (one row each; of several, any
+    delivery counts). A digest is ``sent`` only if its delivery is confirmed;
+    else it is ``send_error`` with an error and ``send_failed`` without one,
+    and its message stays unread. Other statuses stand."""
+    said = deliveries.groupBy(uid).agg(
+        F.coalesce(F.max("delivered"), F.lit(False)).alias("_delivered"),
+        F.max("send_error").alias("_send_error"))
+    done = (F.when((F.col("status") != "sent") | F.col("_delivered"), F.col("status"))
+            .when(F.col("_send_error").isNotNull(), F.lit("send_error"))
+            .otherwise(F.lit("send_failed")))
+    return (outcomes.join(said, uid, "left").withColumn("status", done)
+            .drop("_delivered", "_send_error"))
+
+
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     """O2: messages per status."""
     return outcomes.groupBy("status").agg(

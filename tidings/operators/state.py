@@ -59,12 +59,12 @@ def ledger_after_run(ledger: DataFrame, outcomes: DataFrame, run_id: str,
 
 def append_ledger(outcomes: DataFrame, path: str, run_id: str,
                   uid: str = "msg_uid") -> None:
-    """Append this run's delivered ids to the ledger table at ``path``.
+    """This run's delivered ids, as partition ``run_id`` of the ledger table at
+    ``path``; a rerun of the same id replaces its own rows.
 
     Called only after the outbox write has committed, so a crash between
     the two leaves messages unread (they are re-sent, never lost).
     """
     (delivered_ids(outcomes, uid)
-     .select(F.col(uid), F.lit(run_id).alias("run_id"),
-             F.current_timestamp().alias("marked_at"))
-     .write.mode("append").parquet(path))
+     .select(F.col(uid), F.current_timestamp().alias("marked_at"))
+     .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))

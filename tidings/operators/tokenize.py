@@ -121,11 +121,9 @@ def tokenizer_windows(df: DataFrame, key: str, text: str, m: int, o: int,
             ST.StructField("n_tok", ST.IntegerType()),
             ST.StructField("chunk", ST.StringType())]))),
         ST.StructField("error_kind", ST.StringType())])
-    pa_key = pa.int64() if isinstance(key_type, ST.LongType) else pa.string()
 
     def run(batches):
         for b in batches:
-            keys = b.column(0).to_pylist()
             ns, chunks, errs = [], [], []
             for t in b.column(1).to_pylist():
                 try:
@@ -139,7 +137,7 @@ def tokenizer_windows(df: DataFrame, key: str, text: str, m: int, o: int,
                     chunks.append(None)
                     errs.append("tokenizer")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa_key), pa.array(ns, pa.int64()),
+                [b.column(0), pa.array(ns, pa.int64()),
                  pa.array(chunks, pa.list_(CHUNK_STRUCT)), pa.array(errs, pa.string())],
                 names=[key, "n_tokens", "chunks", "error_kind"])
 

@@ -29,6 +29,7 @@ from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subj
 from tidings.operators.state import append_ledger, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
 from tidings.session import materialize_by_key
+from tidings.sources.mime import parse_mime
 
 
 @dataclass(frozen=True)
@@ -50,18 +51,20 @@ class RunConfig:
     tokenizer: object = "words"
 
 
-def stage(messages: DataFrame, ledger: DataFrame, cfg: RunConfig) -> DataFrame:
+def stage(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
+          selected: bool = False) -> DataFrame:
     """Unread messages of the sender with body, subject and windows.
 
     ``messages`` has ``msg_uid, sender, subject, is_multipart, parts`` and
-    optionally ``parse_ok`` (from the MIME job). A plug-in tokenizer is
+    optionally ``parse_ok`` (from the MIME job); ``selected`` says that they
+    are the sender's unread ones already. A plug-in tokenizer is
     resolved here, on the driver, so an unknown name stops the run before
     any job (T6); a text it cannot encode gets NULL windows, which the
     outcome rules report as ``tokenizer_error`` for that message only."""
     tokenizer = cfg.tokenizer
     if isinstance(tokenizer, str) and tokenizer != "words":
         tokenizer = get_tokenizer(tokenizer)
-    u = unread_from_sender(messages, ledger, cfg.sender)
+    u = messages if selected else unread_from_sender(messages, ledger, cfg.sender)
     if "parse_ok" not in u.columns:
         u = u.withColumn("parse_ok", F.lit(True))
     b = select_body(u).withColumn("subject", subject_or_fallback("subject", "msg_uid"))
@@ -143,7 +146,8 @@ def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig,
 
 
 def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
-               summarizer=None, materialize: bool = True, both_outputs: bool = False):
+               summarizer=None, materialize: bool = True, both_outputs: bool = False,
+               selected: bool = False):
     """Plan one run. ``summarizer`` is a plug-in for ``model_fold``; without
     one the built-in extractive sections are used.
 
@@ -154,7 +158,7 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     checkpoint instead of recomputing the lineage. ``both_outputs`` (set
     when the caller writes outbox and outcomes) also materializes the
     per-message result, so the summary plan runs once for both writes."""
-    staged = stage(messages, ledger, cfg)
+    staged = stage(messages, ledger, cfg, selected)
     if materialize:
         # partitioned by message before the checkpoint: the checkpoint keeps
         # that partitioning, and every summary step keyed by message reuses it
@@ -176,6 +180,14 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     return finish(staged, sums, cfg, materialize and both_outputs)
 
 
+def run_raw(raw: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer=None, **options):
+    """A run over raw mail ``(msg_uid, sender, raw)``: the envelope's sender and
+    the ledger choose the messages before anything is parsed, so only those
+    are parsed and a failed fetch keeps its row (``fetch_failed``)."""
+    mine = unread_from_sender(raw, ledger, cfg.sender)
+    return run_digest(parse_mime(mine), ledger, cfg, summarizer, selected=True, **options)
+
+
 def config_from_settings(row) -> RunConfig:
     """A ``RunConfig`` from one row of ``settings.resolve`` (a subscription
     that ``settings.rejects`` does not list)."""
@@ -190,16 +202,14 @@ def config_from_settings(row) -> RunConfig:
 
 def write_run(outbox: DataFrame, outcomes: DataFrame, out_dir: str,
               run_id: str) -> None:
-    """Outbox first (idempotent: the run's partition is overwritten), then
-    outcomes, then the ledger append of delivered ids."""
-    (outbox.withColumn("run_id", F.lit(run_id)).write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id").parquet(f"{out_dir}/outbox"))
-    (outcomes.withColumn("run_id", F.lit(run_id)).write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("run_id").parquet(f"{out_dir}/outcomes"))
-    spark = outbox.sparkSession
-    written = spark.read.parquet(f"{out_dir}/outcomes").where(F.col("run_id") == run_id)
+    """Outbox first, then outcomes, then the ledger rows of delivered ids.
+
+    Each goes to the run's own partition, which is overwritten as a whole: a
+    rerun that writes no rows leaves none of the earlier attempt's. A rerun
+    reads a ledger without the rows of its own ``run_id``."""
+    outbox.write.mode("overwrite").parquet(f"{out_dir}/outbox/run_id={run_id}")
+    outcomes.write.mode("overwrite").parquet(f"{out_dir}/outcomes/run_id={run_id}")
+    written = outbox.sparkSession.read.parquet(f"{out_dir}/outcomes/run_id={run_id}")
     append_ledger(written, f"{out_dir}/read_ledger", run_id)
 
 

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from tidings.functions.chunk import chunk_text
 from tidings.functions.text import SENTENCE_RE
 from tidings.operators.model import LeadSentence, model_fold
-from tidings.operators.outcomes import outcome_counts, size_stats
+from tidings.operators.outcomes import confirm_sends, outcome_counts, size_stats
 from tidings.operators.render import (ATTACH_FAILED, DEFAULT_MODEL, ORIGINAL_SEPARATOR,
                                       SUBJECT_DEFAULT, SUBJECT_PREFIX,
                                       elements_text, info_header, inject_header,
                                       original_elements)
 from tidings.operators.state import ledger_after_run
-from tidings.plans.digest import RunConfig, run_digest
+from tidings.plans.digest import RunConfig, run_digest, run_raw
 from tidings.plans.q_mail import SQL_MAIL, sql_strip
 from tidings.plans.q_text import SENDER, WIN_M, WIN_O, _sql_windows, sql_words
 from tidings.plans.registry import query
 from tidings.sources import tables as T
-from tidings.sources.mailbox import mail_view
+from tidings.sources.mailbox import mail_view, raw_mails
 
 # --- fixed values -----------------------------------------------------------
 RUN_ID = "run-0001"
@@ -97,6 +97,52 @@ def q_ledger_after_run(spark, sf_dir):
     return ledger_after_run(T.read_ledger(spark, sf_dir), oc, RUN_ID)
 
 
+@query("raw_run_outcomes", f"""{SQL_STAGE}
+SELECT msg_uid, sender, status, n_chars, n_tokens, n_chunks FROM oc
+""")
+def q_raw_run_outcomes(spark, sf_dir):
+    """The outcomes of the run on raw mail, failed fetches with them."""
+    _, oc = run_raw(raw_mails(spark, sf_dir), T.read_ledger(spark, sf_dir), CFG)
+    return oc.select("msg_uid", "sender", "status", "n_chars", "n_tokens", "n_chunks")
+
+
+# The send results of the two queries below: a message labelled toxic is refused,
+# with an error where its id is odd; the others are delivered.
+SQL_CONFIRMED = f"""{SQL_STAGE},
+rf AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1),
+cs AS (SELECT oc.msg_uid, CASE WHEN status <> 'sent' OR rf.doc_id IS NULL THEN status
+                               WHEN msg_uid % 2 = 1 THEN 'send_error' ELSE 'send_failed' END AS status
+       FROM oc LEFT JOIN rf ON oc.msg_uid = rf.doc_id)"""
+
+
+def _confirmed(spark, sf_dir):
+    outbox, oc = _run(spark, sf_dir)
+    refused = T.table(spark, sf_dir, "labels").where("toxic = 1").select(
+        F.col("doc_id").alias("msg_uid"), F.lit(True).alias("refused")).distinct()
+    no = F.col("refused").isNotNull()
+    sends = outbox.select("msg_uid").join(refused, "msg_uid", "left").select(
+        "msg_uid", (~no).alias("delivered"),
+        F.when(no & (F.col("msg_uid") % 2 == 1), F.lit("refused")).alias("send_error"))
+    return confirm_sends(oc, sends)
+
+
+@query("outcomes_delivery", f"""{SQL_CONFIRMED}
+SELECT msg_uid, status FROM cs
+""")
+def q_outcomes_delivery(spark, sf_dir):
+    return _confirmed(spark, sf_dir).select("msg_uid", "status")
+
+
+@query("ledger_delivery", f"""{SQL_CONFIRMED}
+SELECT doc_id AS msg_uid, 'previous' AS marked_by FROM labels WHERE quality = 1
+UNION ALL
+SELECT msg_uid, '{RUN_ID}' AS marked_by FROM cs WHERE status = 'sent'
+  AND msg_uid NOT IN (SELECT doc_id FROM labels WHERE quality = 1)
+""")
+def q_ledger_delivery(spark, sf_dir):
+    return ledger_after_run(T.read_ledger(spark, sf_dir), _confirmed(spark, sf_dir), RUN_ID)
+
+
 def _esc(x: str) -> str:
     return (f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), "
             f"'>', '&gt;'), '\"', '&quot;')")
@@ -168,6 +214,14 @@ def q_digest_outbox(spark, sf_dir):
                      elements_text("original").alias("original"))
 
 
+@query("raw_run_outbox", _sql_digest())
+def q_raw_run_outbox(spark, sf_dir):
+    """The run on raw mail: choose, parse, summarize, render."""
+    ob, _ = run_raw(raw_mails(spark, sf_dir), T.read_ledger(spark, sf_dir), CFG)
+    return ob.select("msg_uid", "from_addr", "to_addr", "subject", "html",
+                     elements_text("original").alias("original"))
+
+
 @query("entry_flagship", _sql_digest())
 def q_entry_flagship(spark, sf_dir):
     return q_digest_outbox(spark, sf_dir)

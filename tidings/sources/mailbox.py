@@ -137,7 +137,7 @@ def _part_headers(ctype: str, charset: Column, disp: Column | None) -> Column:
 
 
 def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RFC 822 bytes for every message of ``mail_source``."""
+    """Envelope sender and RFC 822 bytes for every message of ``mail_source``."""
     s = mail_source(spark, sf_dir)
     subj = (F.when(F.col("subject").isNull(), F.lit(""))
             .when(F.col("subject") == "", F.lit("Subject: " + CRLF))
@@ -164,7 +164,7 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = (F.when(~F.col("fetched"), F.lit(None).cast("string"))
            .when(multi, multipart).when(F.col("has_doc"), single_plain)
            .otherwise(single_html))
-    return s.select("msg_uid", F.encode(raw, "utf-8").alias("raw"))
+    return s.select("msg_uid", "sender", F.encode(raw, "utf-8").alias("raw"))
 
 
 def eml_files(spark: SparkSession, path: str) -> DataFrame:

@@ -14,6 +14,7 @@ from email.parser import BytesParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from tidings.session import ship_package
@@ -24,8 +25,8 @@ PART_STRUCT = pa.struct([
     ("disposition", pa.string()), ("charset", pa.string()),
     ("text", pa.string()), ("decode_ok", pa.bool_())])
 
-PARSED_SCHEMA = ST.StructType([
-    ST.StructField("msg_uid", ST.LongType()),
+# Columns beside the key, whose type is the input's.
+PARSED_FIELDS = [
     ST.StructField("parse_ok", ST.BooleanType()),
     ST.StructField("sender", ST.StringType()),
     ST.StructField("subject", ST.StringType()),
@@ -37,7 +38,7 @@ PARSED_SCHEMA = ST.StructType([
         ST.StructField("charset", ST.StringType()),
         ST.StructField("text", ST.StringType()),
         ST.StructField("decode_ok", ST.BooleanType())]))),
-])
+]
 
 
 def _decode(part) -> tuple[str | None, bool]:
@@ -92,21 +93,27 @@ def parse_one(raw: bytes | None):
 
 
 def _parse_batches(batches):
-    out_type = pa.schema([
-        ("msg_uid", pa.int64()), ("parse_ok", pa.bool_()),
-        ("sender", pa.string()), ("subject", pa.string()),
-        ("is_multipart", pa.bool_()), ("parts", pa.list_(PART_STRUCT))])
+    parsed = [("parse_ok", pa.bool_()), ("sender", pa.string()), ("subject", pa.string()),
+              ("is_multipart", pa.bool_()), ("parts", pa.list_(PART_STRUCT))]
     for b in batches:
-        uids = b.column("msg_uid").to_pylist()
-        raws = b.column("raw").to_pylist()
-        cols = list(zip(*(parse_one(r) for r in raws))) or [[]] * 5
+        rows = []
+        for raw, envelope in zip(b.column("raw").to_pylist(), b.column("sender").to_pylist()):
+            ok, sender, *rest = parse_one(raw)
+            rows.append((ok, sender if envelope is None else envelope, *rest))
+        cols = list(zip(*rows)) or [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(uids, pa.int64())] +
-            [pa.array(list(c), t.type) for c, t in zip(cols, list(out_type)[1:])],
-            schema=out_type)
+            [b.column("msg_uid")] + [pa.array(list(c), t) for c, (_, t) in zip(cols, parsed)],
+            names=["msg_uid"] + [n for n, _ in parsed])
 
 
 def parse_mime(raw: DataFrame) -> DataFrame:
-    """``(msg_uid BIGINT, raw BINARY)`` to parsed messages with ``parts``."""
+    """``(msg_uid, raw BINARY)`` to parsed messages with ``parts``.
+
+    The key may be of any type. An envelope ``sender`` column, where there is
+    one, is the message's sender: it is known even if the fetch or the parse
+    failed. Without it the ``From`` header is."""
     ship_package(raw.sparkSession)
-    return raw.select("msg_uid", "raw").mapInArrow(_parse_batches, PARSED_SCHEMA)
+    sender = F.col("sender") if "sender" in raw.columns else F.lit(None).cast("string")
+    key = ST.StructField("msg_uid", raw.schema["msg_uid"].dataType)
+    return raw.select("msg_uid", "raw", sender.alias("sender")).mapInArrow(
+        _parse_batches, ST.StructType([key] + PARSED_FIELDS))

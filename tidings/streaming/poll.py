@@ -4,7 +4,7 @@ A scheduled run takes whatever arrived since the last one: a file-source
 ``readStream`` with ``trigger(availableNow=True)`` processes the new files
 and stops. Each micro-batch goes through the batch digest run in
 ``foreachBatch`` and writes four tables under ``out_dir``, each partitioned
-by ``(stream_id, batch_id)`` and written with dynamic partition overwrite.
+by ``(stream_id, batch_id)``; a batch overwrites its own partition.
 ``stream_id`` is the query id kept in the checkpoint: stable across restarts
 of one checkpoint, new for a fresh one, so batch numbers never collide.
 
@@ -57,10 +57,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write(df: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
-    (df.withColumn("stream_id", F.lit(stream_id))
-     .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("stream_id", "batch_id").parquet(path))
+    """The batch's own partition, overwritten as a whole: a replay without rows
+    clears what the failed attempt left."""
+    df.write.mode("overwrite").parquet(f"{path}/stream_id={stream_id}/batch_id={batch_id}")
 
 
 def _with_keys(schema: ST.StructType) -> ST.StructType:
