@@ -1,45 +1,81 @@
-"""Plan-shape regression tests: the properties the design relies on."""
+"""Plan-shape regression tests: the properties the design relies on, with
+broadcasts off, as at scale."""
 
+import glob
 import re
 
-import __spark_entry__ as E
+import pytest
 
-QS = E.queries()
+from scripts.plan_report import final_plan
+from tidings.plans.registry import QUERIES as QS
 
+NO_BROADCAST = ("spark.sql.autoBroadcastJoinThreshold",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold")
 
-def _final_plan(df) -> str:
+
+@pytest.fixture(autouse=True)
+def no_broadcasts(spark):
+    before = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    for k in NO_BROADCAST:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _plan(spark, name, sf):
+    df = QS[name](spark, sf)
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return final_plan(df)
+
+
+def _shuffles(plan):
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+
+
+def _keys(shuffle):
+    return re.sub(r"#\d+L?", "", shuffle)
+
+
+def test_initial_plans_are_left_out(spark, sf_small):
+    plan = _plan(spark, "keywords_topk", sf_small)
+    assert "Subquery" in plan and "Initial Plan" not in plan
 
 
 def test_unread_scan_is_pruned_and_filtered(spark, sf_small):
-    df = QS["unread_from_sender"](spark, sf_small)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(spark, "unread_from_sender", sf_small)
     assert re.search(r"FileScan parquet \[doc_id#\d+L,source#\d+,n_chars#\d+L\]", plan)
     assert "EqualTo(quality,1)" in plan          # the ledger filter reaches the scan
-    assert "BroadcastExchange" in _final_plan(df) or "SortMergeJoin" in plan
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_projection_has_no_shuffle(spark, sf_small):
+    assert "Exchange" not in _plan(spark, "token_count", sf_small)
 
 
 def test_tf_needs_no_shuffle_of_term_occurrences(spark, sf_small):
     # the documents are repartitioned by id once, so the tf aggregation on
     # (doc, term) reuses that partitioning instead of shuffling occurrences
-    df = QS["keywords_topk"](spark, sf_small)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = _plan(spark, "keywords_topk", sf_small)
     assert "REPARTITION_BY_COL" in plan
-    assert not re.search(r"Exchange hashpartitioning\(doc_id#\d+L, term", plan)
+    assert "doc_id, term" not in [_keys(s) for s in _shuffles(plan)]
 
 
-def test_run_reads_bucketed_stage_without_hash_shuffle(spark, sf_small):
-    plan = _final_plan(QS["digest_outbox"](spark, sf_small))
-    assert "Exchange hashpartitioning" not in plan
+def test_staged_run_reads_buckets_and_leaves_no_table(spark, sf_small):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{root}/tables/*"))
+    plan = _plan(spark, "digest_outbox", sf_small)
+    assert "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tidings_")]
+    new, = set(glob.glob(f"{root}/tables/*")) - before
+    assert 0 < len(glob.glob(f"{new}/*.parquet")) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_no_shuffle_on_term_alone_before_sentence_join(spark, sf_small):
-    # joins keyed (doc, term) keep Spark's all-keys co-partitioning: a shuffle
-    # by term feeds only the tf x df join, never the occurrence join
-    for name in ("executive_summary", "detailed_summary", "outcomes"):
-        plan = _final_plan(QS[name](spark, sf_small))
-        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
-        for m in re.finditer(r"SortMergeJoin \[(\w+)#\d+L?, term#\d+\]", plan):
-            assert m  # (doc, term) joins exist only as sort-merge on both keys
+def test_sentence_joins_keep_both_keys(spark, sf_small):
+    # a join on (doc, term) must not reuse a partitioning by term alone,
+    # which would put every occurrence of a frequent term into one task
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    plan = _plan(spark, "executive_summary", sf_small)
+    joins = re.findall(r"SortMergeJoin \[([^\]]*)\], \[([^\]]*)\]", plan)
+    assert any(_keys(a) == _keys(b) == "doc_id, term" for a, b in joins)
+    assert [_keys(s) for s in _shuffles(plan)].count("doc_id, term") >= 2

@@ -71,3 +71,28 @@ def test_failed_messages_come_back_next_batch(spark, sf_small):
     assert {u for u, st in got.items() if st == "sent"} == set(range(51, 60))
     sent = [r.msg_uid for r in spark.read.parquet(os.path.join(out, "outbox")).collect()]
     assert len(sent) == len(set(sent)) == 45 + 9
+
+
+def test_idle_poll_tries_undelivered_messages_again(spark, sf_small):
+    base = tempfile.mkdtemp(prefix="tidings-idle-")
+    src, out, ck = (os.path.join(base, x) for x in ("src", "out", "ck"))
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    docs.where("doc_id < 20").coalesce(1).write.parquet(src)
+
+    def down(requests):
+        raise ConnectionError("down")
+
+    def up(requests):
+        return ["short" for _ in requests]
+    poll(spark, src, out, ck, CFG, summarizer=down)
+    assert _outbox_ids(spark, out) == []
+    # still down: the pass fails again and leaves the messages pending
+    poll(spark, src, out, ck, CFG, summarizer=down)
+    assert _outbox_ids(spark, out) == []
+    poll(spark, src, out, ck, CFG, summarizer=up)
+    assert sorted(_outbox_ids(spark, out)) == list(range(20))
+    # delivered: neither an idle pass nor the next batch sends them again
+    poll(spark, src, out, ck, CFG, summarizer=up)
+    docs.where("doc_id between 20 and 29").coalesce(1).write.mode("append").parquet(src)
+    poll(spark, src, out, ck, CFG, summarizer=up)
+    assert sorted(_outbox_ids(spark, out)) == list(range(30))

@@ -7,3 +7,4 @@ from tidings.plans import q_summary  # noqa: F401
 from tidings.plans import q_digest  # noqa: F401
 from tidings.plans import q_stream  # noqa: F401
 from tidings.plans import q_plugins  # noqa: F401
+from tidings.plans import q_settings  # noqa: F401

@@ -85,14 +85,19 @@ def materialize_by_key(df, key: str, name: str):
     Like ``checkpoint()`` it cuts the lineage (a lost executor re-reads the
     files), and unlike it the read keeps a known hash partitioning by
     ``key``, so aggregations, windows and joins keyed by ``key`` downstream
-    need no shuffle."""
+    need no shuffle. The rows are dealt to the buckets before the write, so
+    there is at most one file for each bucket. The table leaves the catalog at
+    once: the returned DataFrame holds its files, which follow the checkpoint
+    folder's retention."""
     import uuid
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.bucketBy(n, key).mode("overwrite")
+    (df.repartition(n, key).write.bucketBy(n, key).mode("overwrite")
        .option("path", scratch_path(spark, "tables", table)).saveAsTable(table))
-    return spark.table(table)
+    staged = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return staged
 
 
 _SHIPPED: set[str] = set()

@@ -13,7 +13,8 @@ of one checkpoint, new for a fresh one, so batch numbers never collide.
 * ``read_ledger``: ids delivered in that batch;
 * ``retry``: the messages that were not delivered, carried into the next
   batch (a checkpoint never re-reads a file, so failed mail would otherwise
-  be lost to the stream; the reference leaves such mail unread).
+  be lost to the stream; the reference leaves such mail unread). A poll that
+  finds no new file runs them alone.
 
 Replay safety: a batch replayed after a crash rewrites the same partitions,
 and its unread check skips only its own (and later) ledger partitions of the
@@ -73,58 +74,114 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
 
 
+def _message_cols(df: DataFrame) -> DataFrame:
+    """The columns of a message; ``parse_ok`` where the source knows it."""
+    return df.select(*MESSAGE_COLS, *(["parse_ok"] if "parse_ok" in df.columns else []))
+
+
+def _pending(spark: SparkSession, out_dir: str, sid: str, schema: ST.StructType,
+             before: int | None = None) -> DataFrame:
+    """The messages that the stream's last batch (below ``before``) left undelivered."""
+    # explicit schema: a batch with no failures writes no files
+    prev = (spark.read.schema(_with_keys(schema)).parquet(os.path.join(out_dir, "retry"))
+            .where(F.col("stream_id") == sid))
+    if before is not None:
+        prev = prev.where(F.col("batch_id") < before)
+    last = prev.agg(F.max("batch_id")).scalar()
+    return prev.where(F.col("batch_id") == last).drop("stream_id", "batch_id")
+
+
+def _ledger(spark: SparkSession, out_dir: str, uid_schema: ST.StructType,
+            initial: DataFrame | None, hidden=None) -> DataFrame:
+    """Ids delivered so far, without the ledger rows for which ``hidden`` holds."""
+    path = os.path.join(out_dir, "read_ledger")
+    known = [] if initial is None else [initial.select("msg_uid")]
+    if _exists(spark, path):
+        done = spark.read.schema(_with_keys(uid_schema)).parquet(path)
+        known.append((done if hidden is None else done.where(~hidden)).select("msg_uid"))
+    known = known or [spark.createDataFrame([], uid_schema)]
+    return known[0] if len(known) == 1 else known[0].unionByName(known[1])
+
+
+def _deliver(msgs: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer, out_dir: str,
+             sid: str, batch_id: int) -> DataFrame:
+    """One run over ``msgs``, written below (sid, batch_id); the outcomes read back."""
+    spark = msgs.sparkSession
+    outbox, outcomes = run_digest(msgs, ledger, cfg, summarizer, both_outputs=True)
+    _write(outbox, os.path.join(out_dir, "outbox"), sid, batch_id)
+    _write(outcomes, os.path.join(out_dir, "outcomes"), sid, batch_id)
+    written = (spark.read.schema(_with_keys(outcomes.schema))
+               .parquet(os.path.join(out_dir, "outcomes"))
+               .where((F.col("stream_id") == sid) & (F.col("batch_id") == batch_id)))
+    _write(written.where(F.col("status") == "sent").select("msg_uid"),
+           os.path.join(out_dir, "read_ledger"), sid, batch_id)
+    return written
+
+
 def make_batch_fn(out_dir: str, checkpoint: str, cfg: RunConfig,
-                  initial_ledger: DataFrame | None, to_messages=documents_as_messages):
+                  initial_ledger: DataFrame | None, to_messages=documents_as_messages,
+                  summarizer=None):
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         sid = _stream_id(spark, checkpoint)
-        mine = F.col("stream_id") == F.lit(sid)
-        msgs = to_messages(batch).select(*MESSAGE_COLS)
+        msgs = _message_cols(to_messages(batch))
         retry_path = os.path.join(out_dir, "retry")
         if _exists(spark, retry_path):
-            # explicit schemas: a batch with no failures writes no files
-            prev = (spark.read.schema(_with_keys(msgs.schema)).parquet(retry_path)
-                    .where(mine & (F.col("batch_id") < batch_id)))
-            last = prev.agg(F.max("batch_id")).scalar()
-            msgs = msgs.unionByName(prev.where(F.col("batch_id") == last)
-                                    .select(*MESSAGE_COLS))
+            msgs = msgs.unionByName(_pending(spark, out_dir, sid, msgs.schema, batch_id))
         msgs = msgs.dropDuplicates(["msg_uid"])
-        ledger_path = os.path.join(out_dir, "read_ledger")
-        ledger = initial_ledger.select("msg_uid") if initial_ledger is not None else None
-        if _exists(spark, ledger_path):
-            uid_schema = msgs.select("msg_uid").schema
-            done = (spark.read.schema(_with_keys(uid_schema)).parquet(ledger_path)
-                    .where(~(mine & (F.col("batch_id") >= batch_id))).select("msg_uid"))
-            ledger = done if ledger is None else ledger.unionByName(done)
-        if ledger is None:
-            ledger = spark.createDataFrame([], "msg_uid long")
-        outbox, outcomes = run_digest(msgs, ledger, cfg, both_outputs=True)
-        _write(outbox, os.path.join(out_dir, "outbox"), sid, batch_id)
-        _write(outcomes, os.path.join(out_dir, "outcomes"), sid, batch_id)
-        written = (spark.read.schema(_with_keys(outcomes.schema))
-                   .parquet(os.path.join(out_dir, "outcomes"))
-                   .where(mine & (F.col("batch_id") == batch_id)))
-        _write(written.where(F.col("status") == "sent").select("msg_uid"),
-               ledger_path, sid, batch_id)
+        ledger = _ledger(spark, out_dir, msgs.select("msg_uid").schema, initial_ledger,
+                         (F.col("stream_id") == sid) & (F.col("batch_id") >= batch_id))
+        written = _deliver(msgs, ledger, cfg, summarizer, out_dir, sid, batch_id)
         failed = written.where(F.col("status") != "sent").select("msg_uid")
         _write(msgs.join(failed, "msg_uid", "left_semi"), retry_path, sid, batch_id)
     return process
 
 
+def retry_pending(spark: SparkSession, out_dir: str, checkpoint: str, cfg: RunConfig,
+                  initial_ledger: DataFrame | None, schema: ST.StructType,
+                  summarizer=None) -> None:
+    """A pass over the undelivered messages alone, for a poll without new files (I4).
+
+    It writes under a stream id of its own, numbered by the passes that
+    delivered something, so no batch overwrites it and a crashed pass is
+    rewritten by the next one. The ``retry`` table stays as it is: the ledger
+    keeps what the pass delivered out of the next batch."""
+    sid = _stream_id(spark, checkpoint)
+    if not _exists(spark, os.path.join(out_dir, "retry")):
+        return
+    msgs = _pending(spark, out_dir, sid, schema)
+    if msgs.isEmpty():
+        return
+    uid_schema, own = msgs.select("msg_uid").schema, f"{sid}-retry"
+    last = (spark.read.schema(_with_keys(uid_schema)).parquet(os.path.join(out_dir, "read_ledger"))
+            .where(F.col("stream_id") == own).agg(F.max("batch_id")).first()[0])
+    _deliver(msgs, _ledger(spark, out_dir, uid_schema, initial_ledger), cfg, summarizer,
+             out_dir, own, 0 if last is None else last + 1)
+
+
 def poll(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
          cfg: RunConfig, glob: str = "*.parquet",
          initial_ledger: DataFrame | None = None, max_files: int | None = None,
-         to_messages=documents_as_messages) -> None:
-    """Process every file not yet seen by ``checkpoint``, then stop."""
+         to_messages=documents_as_messages, summarizer=None) -> None:
+    """Process every file not yet seen by ``checkpoint``, then stop (I1/I2);
+    without such a file, try the undelivered messages again (I4)."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     reader = (spark.readStream.format("parquet").schema(schema)
               .option("pathGlobFilter", glob))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.load(source_dir)
+    process = make_batch_fn(out_dir, checkpoint, cfg, initial_ledger, to_messages, summarizer)
+    batches = []
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        batches.append(batch_id)
+        process(batch, batch_id)
     q = (stream.writeStream
-         .foreachBatch(make_batch_fn(out_dir, checkpoint, cfg, initial_ledger,
-                                     to_messages))
+         .foreachBatch(counted)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if not batches:
+        messages = _message_cols(to_messages(spark.createDataFrame([], schema))).schema
+        retry_pending(spark, out_dir, checkpoint, cfg, initial_ledger, messages, summarizer)
