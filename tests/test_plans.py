@@ -78,4 +78,7 @@ def test_sentence_joins_keep_both_keys(spark, sf_small):
     plan = _plan(spark, "executive_summary", sf_small)
     joins = re.findall(r"SortMergeJoin \[([^\]]*)\], \[([^\]]*)\]", plan)
     assert any(_keys(a) == _keys(b) == "doc_id, term" for a, b in joins)
-    assert [_keys(s) for s in _shuffles(plan)].count("doc_id, term") >= 2
+    shuffles = [_keys(s) for s in _shuffles(plan)]
+    assert shuffles.count("doc_id, term") == 2
+    # only scores are shuffled by sentence; the text stays with its document
+    assert shuffles.count("doc_id, s_ix") == 1

@@ -9,7 +9,7 @@ computed extractively, from the text alone, deterministically:
   document;
 * X2 ``top_sentences`` over whole texts: the best sentences by mean term
   weight, put back in text order;
-* X4 the same per window, folded in window order (each window's reply
+* X4 ``top_window_sentences``: the same per window, folded in window order (each window's reply
   carries the context before it, so the fold result is every window's pick
   in order);
 * X6 ``digest_html``: the sections as an HTML fragment, text escaped.
@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidings.functions.chunk import explode_chunks
 from tidings.functions.text import (TERM_MIN_LEN, TERM_SPLIT_RE, col_, html_escape,
                                     py_strip, sentences)
 
@@ -116,14 +117,13 @@ def sentence_units(df: DataFrame, keys: list[str], text: str) -> DataFrame:
               .where(F.col("sentence").isNotNull()))
 
 
-def top_sentences(units: DataFrame, weights: DataFrame, keys: list[str],
-                  k: int, key: str = "doc_id") -> DataFrame:
-    """Best ``k`` sentences per ``keys`` group, back in text order.
+def best_sentences(units: DataFrame, weights: DataFrame, keys: list[str],
+                   k: int, key: str = "doc_id") -> DataFrame:
+    """(keys..., picks): the indexes of the best ``k`` sentences of each ``keys`` group.
 
     A sentence scores the mean weight of its term occurrences, weights looked
     up by (key, term); a sentence without terms scores 0. Ties go to the
-    earlier sentence. Returns (keys..., picked) with the picked sentences
-    joined by single spaces.
+    earlier sentence. Only indexes come out: the text stays with its document.
     """
     runs = F.explode_outer(F.split(F.lower("sentence"), TERM_SPLIT_RE))
     occ = (units.select(*keys, "s_ix", runs.alias("run"))
@@ -135,12 +135,41 @@ def top_sentences(units: DataFrame, weights: DataFrame, keys: list[str],
                  .agg(F.round(F.coalesce(F.avg("score"), F.lit(0.0)),
                               SCORE_DIGITS).alias("s_score")))
     w = Window.partitionBy(*keys).orderBy(F.col("s_score").desc(), F.col("s_ix"))
-    best = (scored.withColumn("s_rank", F.row_number().over(w))
+    return (scored.withColumn("s_rank", F.row_number().over(w))
                   .where(F.col("s_rank") <= k)
-                  .join(units, on=[*keys, "s_ix"]))
-    return best.groupBy(*keys).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("s_ix", "sentence"))),
-        lambda s: s["sentence"]), " ").alias("picked"))
+                  .groupBy(*keys).agg(F.collect_list("s_ix").alias("picks")))
+
+
+def _picked(text: Column, picks: Column) -> Column:
+    """The picked sentences of ``text`` in text order, joined by single spaces."""
+    return F.array_join(F.filter(sentences(text), lambda s, i: F.array_contains(picks, i)), " ")
+
+
+def top_sentences(docs: DataFrame, weights: DataFrame, k: int, key: str = "doc_id",
+                  text: str = "text") -> DataFrame:
+    """(key, picked), the best ``k`` sentences of each text.
+
+    The indexes join back on ``key``, so documents that are partitioned by it
+    stay where they are."""
+    units = sentence_units(docs, [key], text)
+    best = best_sentences(units, weights, [key], k, key)
+    return docs.select(key, text).join(best, key).select(
+        key, _picked(F.col(text), F.col("picks")).alias("picked"))
+
+
+def top_window_sentences(docs: DataFrame, weights: DataFrame, k: int,
+                         key: str = "doc_id") -> DataFrame:
+    """(key, detailed, n_windows), the best ``k`` sentences of each window of the
+    ``chunks`` column, in window order."""
+    ch = explode_chunks(docs, [key]).select(key, "chunk_ix", "chunk")
+    units = sentence_units(ch, [key, "chunk_ix"], "chunk")
+    best = (best_sentences(units, weights, [key, "chunk_ix"], k, key).groupBy(key)
+            .agg(F.array_sort(F.collect_list(F.struct("chunk_ix", "picks"))).alias("windows")))
+    window = F.transform("windows", lambda w: _picked(
+        F.get("chunks", w["chunk_ix"].cast("int"))["chunk"], w["picks"]))
+    return docs.select(key, "chunks").join(best, key).select(
+        key, F.array_join(window, " ").alias("detailed"),
+        F.size("windows").cast("bigint").alias("n_windows"))
 
 
 def digest_html(title, date, exec_summary, keyword_text, detailed) -> Column:

@@ -1,6 +1,6 @@
 """The digest run: unread mail in, outbox rows and outcomes out.
 
-One lazy plan per run:
+The plan of a run (the staged messages are written while it is built):
 
     messages ─ sender filter ─ anti join ledger ─ body ─ windows ─┐
                                                                   ├─ summary ─ render ─ outbox
@@ -18,8 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.chunk import (DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN,
-                                     chunk_text, explode_chunks)
+from tidings.functions.chunk import DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN, chunk_text
 from tidings.operators import extractive as X
 from tidings.operators.body import select_body, subject_or_fallback
 from tidings.operators.outcomes import classify
@@ -94,19 +93,13 @@ def extractive_summaries(staged: DataFrame, key: str = "msg_uid") -> DataFrame:
     d = ok.select(key, F.col("body").alias("text"))
     w = X.term_weights(d, key)
     kw = X.keyword_line(X.keywords(w, key), key)
-    ex = X.top_sentences(X.sentence_units(d, [key], "text"), w, [key],
-                         X.EXEC_SENTENCES, key)
+    ex = X.top_sentences(d, w, X.EXEC_SENTENCES, key)
     # A body that fits in one window is that window verbatim, so its
     # detailed pick is its executive pick when both take the same number of
     # sentences: only multi-window bodies go through the window pass.
     reuse = X.DETAIL_SENTENCES == X.EXEC_SENTENCES
     multi = ok.where(F.col("n_chunks") > 1) if reuse else ok
-    ch = explode_chunks(multi, [key]).select(key, "chunk_ix", "chunk")
-    per = X.top_sentences(X.sentence_units(ch, [key, "chunk_ix"], "chunk"), w,
-                          [key, "chunk_ix"], X.DETAIL_SENTENCES, key)
-    det = per.groupBy(key).agg(F.array_join(F.transform(F.array_sort(
-        F.collect_list(F.struct("chunk_ix", "picked"))), lambda s: s["picked"]),
-        " ").alias("detailed"))
+    det = X.top_window_sentences(multi, w, X.DETAIL_SENTENCES, key)
     sec = (ok.select(key, "n_chunks", X.title_of("body").alias("title"),
                      X.date_of("body").alias("article_date"))
            .join(ex, key, "left").join(kw, key, "left").join(det, key, "left"))
@@ -160,8 +153,7 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     per-message result, so the summary plan runs once for both writes."""
     staged = stage(messages, ledger, cfg, selected)
     if materialize:
-        # partitioned by message before the checkpoint: the checkpoint keeps
-        # that partitioning, and every summary step keyed by message reuses it
+        # bucketed by message: the summary steps keyed by message reuse that
         staged = materialize_by_key(staged, "msg_uid", "tidings_staged")
     if summarizer is None:
         sums = extractive_summaries(staged)

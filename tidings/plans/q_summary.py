@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidings.functions.chunk import chunk_text, explode_chunks
+from tidings.functions.chunk import chunk_text
 from tidings.functions.text import SENTENCE_RE, TERM_MIN_LEN, TERM_SPLIT_RE
 from tidings.operators import extractive as X
 from tidings.operators.fold import fold_last_nonempty, reply_value, running_context
@@ -150,23 +150,14 @@ SELECT d.doc_id, pk.picked AS exec_summary FROM documents d LEFT JOIN pk ON d.do
 def q_executive_summary(spark, sf_dir):
     d, n = _docs_by_id(spark, sf_dir)
     w = X.term_weights(d, n_docs=n)
-    units = X.sentence_units(d, ["doc_id"], "text")
-    picked = X.top_sentences(units, w, ["doc_id"], X.EXEC_SENTENCES)
+    picked = X.top_sentences(d, w, X.EXEC_SENTENCES)
     return d.select("doc_id").join(picked, "doc_id", "left").select(
         "doc_id", F.col("picked").alias("exec_summary"))
 
 
 def detailed(d, w, m=WIN_M, o=WIN_O):
     """Per document, each window's best sentences, in window order."""
-    ch = explode_chunks(chunk_text(d, "text", m, o), ["doc_id"]).select(
-        "doc_id", "chunk_ix", "chunk")
-    units = X.sentence_units(ch, ["doc_id", "chunk_ix"], "chunk")
-    per = X.top_sentences(units, w, ["doc_id", "chunk_ix"], X.DETAIL_SENTENCES)
-    return per.groupBy("doc_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(
-            F.struct("chunk_ix", "picked"))), lambda s: s["picked"]), " ")
-        .alias("detailed"),
-        F.count(F.lit(1)).cast("bigint").alias("n_windows"))
+    return X.top_window_sentences(chunk_text(d, "text", m, o), w, X.DETAIL_SENTENCES)
 
 
 @query("detailed_summary", f"""
