@@ -38,7 +38,7 @@ def final_plan(df) -> str:
     out, skip = [], None
     for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
         at = len(line) - len(line.lstrip(" :+-"))
-        if skip is not None and at >= skip:
+        if skip is not None and (at >= skip or not at):   # 0: a literal's line break
             continue
         skip = at if "== Initial Plan ==" in line else None
         if skip is None:
