@@ -71,6 +71,20 @@ def licence_base(text):
             ",".join(sorted({label for _, label in at})))
 
 
+def licence_labels(text, templates, min_share):
+    """{label: best share} over every position of every template; templates: (label, notice, key phrases)."""
+    words, best = licence_words(text), {}
+    for label, notice, keys in templates:
+        own = notice.split()
+        for shift in range(-len(own), len(words)):
+            there = [words[shift + i] if 0 <= shift + i < len(words) else None for i in range(len(own))]
+            share = sum(a == b for a, b in zip(own, there)) / len(own)
+            near = " " + " ".join(words[max(0, shift - 2):max(0, shift + len(own) + 2)]) + " "
+            if share >= min_share and all(f" {k} " in near for k in keys):
+                best[label] = max(share, best.get(label, 0))
+    return best
+
+
 def jaccard(a, b, n=5):
     def grams(t):
         w = t.lower().split()

@@ -113,6 +113,29 @@ def test_licenses_templates_with_changed_words():
     assert not licenses.matches(licenses.compact("and or the software of this license"), index, idf)
 
 
+@pytest.mark.parametrize("frequent", ["cc by sa nc 4 0 all rights reserved", "permission redistribution", ""])
+def test_licenses_of_a_text_with_all_notices(frequent):
+    index = licenses.Index()
+    idf = {w: 0.1 if w.decode() in frequent.split() else 5.0 for w in index.vocabulary}
+    text = " and then ".join(t for _, t, _ in licenses.TEMPLATES)
+    got = licenses.matches(licenses.compact(text), index, idf)
+    assert got == brute.licence_labels(text, licenses.TEMPLATES, licenses.MIN_SHARE)
+    assert set(got) == {label for label, _, _ in licenses.TEMPLATES}
+
+
+def test_licenses_of_many_notices_with_changed_words():
+    index, rng = licenses.Index(), random.Random(9)
+    for _ in range(150):
+        idf = {w: rng.choice([0.0, rng.random() * 9]) for w in sorted(index.vocabulary)}
+        words = []
+        for _, notice, _ in rng.sample(licenses.TEMPLATES, rng.randrange(6)):
+            own = [rng.choice(["x", "license", w, w, w, w, w, w, w, w]) for w in notice.split()]
+            words += own[rng.choice([0, 0, 1, 3]):] + ["y"] * rng.randrange(3)
+        text = " ".join(words[:rng.choice([len(words), len(words), max(0, len(words) - 2)])])
+        got = licenses.matches(licenses.compact(text), index, idf)
+        assert got == brute.licence_labels(text, licenses.TEMPLATES, licenses.MIN_SHARE), text
+
+
 def _check_pieces(rows, ids_of, length=2048):
     by_doc, by_seq = {}, {}
     for r in rows:

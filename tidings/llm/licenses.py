@@ -1,13 +1,16 @@
 """License scans: positional rare-token index over licence notices.
 
-The templates' words are indexed as postings (template, position). Rarity is
-the inverse document frequency of those words over all documents: one pass
-counts, in how many documents each template word occurs (the count table has
-a row for each template word at most). Of a file, the template words with
-the highest IDF are looked up; each place they stand at votes, through each
-posting, for a relative position of a template. An alignment with enough
-votes is then compared word by word, and counts only if the template's
-mandatory key phrases stand there too.
+Rarity is the inverse document frequency of the templates' words over all
+documents: one pass counts, in how many documents each template word occurs
+(the count table has a row for each template word at most). Of each template,
+the words with the highest IDF are indexed as postings (template, position),
+one word more than an alignment may miss: an alignment with the wanted share
+has at least one of them in place, so none is overlooked, however long the
+file and however many notices it holds. Each place such a word stands at
+votes, through each posting, for a relative position of a template. An
+alignment with a vote is then compared word by word, and counts only if the
+template's mandatory key phrases stand there too; a template with a key
+phrase that stands nowhere in the file is not looked up.
 
 Base: places where a fixed phrase's words stand consecutively.
 
@@ -63,7 +66,6 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
 
-RARE_WORDS = 16        # highest-IDF licence words looked up in a file
 MIN_SHARE = 0.7        # of a template's words that must stand at their places
 
 # Bytes that separate words become spaces, A-Z become a-z.
@@ -81,16 +83,31 @@ def compact(text: str) -> list[bytes]:
 
 
 class Index:
-    """Templates as words, their postings and key phrases."""
+    """Templates as words, the postings of their rarest words and key phrases."""
 
     def __init__(self):
         self.templates = [(label, compact(t), [compact(k) for k in keys]) for label, t, keys in TEMPLATES]
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for t, (_, words, _) in enumerate(self.templates):
-            for at, w in enumerate(words):
-                self.postings[w].append((t, at))
-        self.vocabulary = frozenset(self.postings)
-        self.phrases = [(b" " + b" ".join(compact(p)) + b" ", label) for p, label in PHRASES]
+        self.vocabulary = frozenset(w for _, words, _ in self.templates for w in words)
+        self.phrases = [(_flat(compact(p)), label) for p, label in PHRASES]
+        self.keys = [[_flat(k) for k in keys] for _, _, keys in self.templates]
+        self._rare: tuple[dict | None, dict] = (None, {})
+
+    def rare_postings(self, idf: dict[bytes, float]) -> dict[bytes, list[tuple[int, int]]]:
+        """word -> (template, position) of each template's highest-IDF words: one more
+        than an alignment with ``MIN_SHARE`` may miss. Kept for the next call with ``idf``."""
+        if self._rare[0] is not idf:
+            postings = defaultdict(list)
+            for t, (_, words, _) in enumerate(self.templates):
+                missed = max(m for m in range(len(words)) if (len(words) - m) / len(words) >= MIN_SHARE)
+                by_idf = sorted(range(len(words)), key=lambda at: (-idf.get(words[at], 0.0), words[at], at))
+                for at in by_idf[:missed + 1]:
+                    postings[words[at]].append((t, at))
+            self._rare = (idf, dict(postings))
+        return self._rare[1]
+
+
+def _flat(words: list[bytes]) -> bytes:
+    return b" " + b" ".join(words) + b" "
 
 
 def _stands(words: list[bytes], phrase: list[bytes], lo: int, hi: int) -> bool:
@@ -99,7 +116,7 @@ def _stands(words: list[bytes], phrase: list[bytes], lo: int, hi: int) -> bool:
 
 def base_places(words: list[bytes], index: Index) -> list[tuple[int, str]]:
     """(first word, label) of every place of a base phrase."""
-    flat, out = b" " + b" ".join(words) + b" ", []
+    flat, out = _flat(words), []
     for phrase, label in index.phrases:
         at = flat.find(phrase)
         while at >= 0:
@@ -110,18 +127,17 @@ def base_places(words: list[bytes], index: Index) -> list[tuple[int, str]]:
 
 def matches(words: list[bytes], index: Index, idf: dict[bytes, float]) -> dict[str, float]:
     """label -> best share of a template's words found in place."""
-    present = index.vocabulary.intersection(words)
-    rare = set(sorted(present, key=lambda w: (-idf.get(w, 0.0), w))[:RARE_WORDS])
-    votes: Counter = Counter()
-    for at, w in enumerate(words):
-        if w in rare:
-            for t, place in index.postings[w]:
-                votes[t, at - place] += 1
+    flat = _flat(words)
+    wanted = {t for t, keys in enumerate(index.keys) if all(k in flat for k in keys)}
+    if not wanted:
+        return {}
+    rare = {w: mine for w, places in index.rare_postings(idf).items()
+            if (mine := [(t, place) for t, place in places if t in wanted])}
+    votes = {(t, at - place) for at, w in enumerate(words) if w in rare for t, place in rare[w]}
     best: dict[str, float] = {}
-    for (t, shift), n in votes.items():
+    for t, shift in votes:
         label, template, keys = index.templates[t]
-        known = sum(w in rare for w in template)
-        if n < max(2, MIN_SHARE * min(len(template), known)):
+        if best.get(label, 0.0) == 1.0:
             continue
         share = sum(0 <= shift + i < len(words) and words[shift + i] == w
                     for i, w in enumerate(template)) / len(template)
