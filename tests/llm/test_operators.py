@@ -359,6 +359,56 @@ def test_mixing(odd, spark, sf_small):
     assert kept == pytest.approx(mixing.KEEP * total, rel=1e-6)
 
 
+def _cells(spark, share, n=30):
+    """One of ``n`` sources has a third of all tokens, each has ``share`` of its own in one language and topic."""
+    rng, rows = random.Random(6), []
+    langs, topics = ["en", "de", "es", "fr"], ["code", "legal", "prose"]
+    for s in range(n):
+        size, main = 1_000_000 if s == 0 else 2_000_000 / (n - 1), (rng.choice(langs), rng.choice(topics))
+        for a in langs:
+            for b in topics:
+                part = ((share if a == main[0] else (1 - share) / (len(langs) - 1))
+                        * (share if b == main[1] else (1 - share) / (len(topics) - 1)))
+                if round(size * part):
+                    rows.append((f"s{s}", a, b, round(size * part)))
+    return common.cut(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"))
+
+
+def _marginal_error(raked, goals):
+    rows, worst = raked.collect(), 0.0
+    for d, g in goals.items():
+        for r in g.collect():
+            worst = max(worst, abs(sum(x.tokens * x.ratio for x in rows if x[d] == r.value) / r.goal - 1))
+    return worst
+
+
+@pytest.mark.parametrize("share", [0.97, 0.99, 0.999])
+def test_mixing_meets_the_targets_of_correlated_cells(spark, share, recwarn):
+    cells = _cells(spark, share)
+    goals = {d: mixing.targets(cells, d) for d in mixing.DIMENSIONS}
+    assert _marginal_error(mixing.rake(cells, goals), goals) <= mixing.TOLERANCE
+    assert not [w for w in recwarn if "mixing" in str(w.message)]
+
+
+def test_mixing_sweeps_on_alike_beyond_the_small_bound(spark, monkeypatch):
+    cells = _cells(spark, 0.6, 8)
+    goals = {d: mixing.targets(cells, d) for d in mixing.DIMENSIONS}
+    want = {tuple(r[:3]): r.ratio for r in mixing.rake(cells, goals, 1).collect()}
+    monkeypatch.setattr(mixing, "BROADCAST_CELLS", 0)
+    raked = mixing.rake(cells, goals, 1)
+    assert {tuple(r[:3]): r.ratio for r in raked.collect()} == pytest.approx(want, rel=1e-9)
+    assert _marginal_error(raked, goals) <= mixing.TOLERANCE
+
+
+def test_mixing_reports_targets_that_contradict_each_other(spark):
+    rows = [("a", "en", "prose", 500), ("b", "en", "prose", 300), ("c", "de", "prose", 200)]
+    cells = common.cut(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long"))
+    goals = {d: mixing.targets(cells, d) for d in mixing.DIMENSIONS}
+    with pytest.warns(RuntimeWarning, match="contradict"):
+        raked = mixing.rake(cells, goals)
+    assert all(r.ratio > 0 for r in raked.collect())
+
+
 @pytest.mark.parametrize("op", [
     exact_dedup.copies, exact_dedup.drop_copies, secrets.find_secrets, licenses.find_licenses, packing.pack,
     fingerprints.fingerprints, simhash.near_copies, simhash.drop_near_copies, mixing.mix, mixing.sample])

@@ -3,16 +3,21 @@
 Token weights of the cells (source, language, topic) are raked until their
 source, language and topic marginals meet the targets. A cell's weight is its
 tokens times one factor for each of its three values; a step sums the weighted tokens
-by one dimension and corrects that dimension's factors. Cells and factors are
+by one dimension and corrects that dimension's factors. Sweeps over the three
+dimensions go on, ``SWEEPS`` at least, until no marginal is further than ``TOLERANCE``
+of its target away. Cells and factors are
 small tables that stay distributed; each step's factors are written to
-the checkpoint folder. Documents are then kept with a probability in
+the checkpoint folder. Where more than the first sweeps are needed, up to
+``BROADCAST_CELLS`` cells are raked further on the driver. Documents are then kept with a probability in
 proportion to their cell's raked weight over its tokens, at most 1, and
 scaled so that the expected tokens kept meet the budget.
 
 A document is kept if a uniform number, derived from its id, is below its
 probability: a retried task decides alike. Everything is DataFrame functions.
 
-Defined cases: a null source or language is a value of its own (``''``); null text
+Defined cases: targets that contradict each other (as where each source has one language) cannot
+all be met: raking ends once the largest error stays where it is, with a warning that names
+that error. A null source or language is a value of its own (``''``); null text
 counts as empty: no tokens, probability as its cell's, and cells without any tokens
 keep all. Rows that share an id and a cell share the decision; null ids draw
 as the empty text does. Extra columns, whatever their names, are ignored by the report
@@ -21,12 +26,18 @@ and carried along by ``sample``. An empty table gives no rows.
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidings.llm.common import cut, whole_text
 
-SWEEPS = 6
+SWEEPS = 6               # at least
+TOLERANCE = 1e-3         # largest relative error of a marginal when raking ends
+STALL = 100              # sweeps without the error falling by a hundredth: targets contradict each other
 DIMENSIONS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.7}   # default target: share ** temperature
 KEEP = 0.75              # expected share of the tokens kept
@@ -76,9 +87,61 @@ def targets(cells: DataFrame, dim: str, weights: dict | None = None) -> DataFram
     return sums.select("value", (F.col("wanted") * scale).alias("goal"))
 
 
+class Progress:
+    """Called with the largest relative marginal error after each sweep; true when raking ends."""
+
+    def __init__(self):
+        self.best, self.since = float("inf"), 0
+
+    def __call__(self, error: float) -> bool:
+        if error <= TOLERANCE:
+            return True
+        self.best, self.since = (error, 0) if error < 0.99 * self.best else (self.best, self.since + 1)
+        if self.since >= STALL:
+            warnings.warn(f"mixing: targets contradict each other, largest relative error of a marginal "
+                          f"{error:.3g}, tolerance {TOLERANCE:g}", RuntimeWarning, stacklevel=2)
+            return True
+        return False
+
+
+def marginal_error(raked: DataFrame, goals: dict[str, DataFrame]) -> float:
+    """Largest relative error of a marginal whose goal is not zero; 0 without any."""
+    errors = None
+    for d in DIMENSIONS:
+        sums = raked.groupBy(F.col(d).alias("own")).agg(F.sum(F.col("tokens") * F.col("ratio")).alias("sum"))
+        one = (goals[d].where("goal > 0").join(sums, F.col("value") == F.col("own"))
+               .select(F.abs(F.col("sum") / F.col("goal") - 1).alias("error")))
+        errors = one if errors is None else errors.unionAll(one)
+    return errors.agg(F.max("error")).first()[0] or 0.0
+
+
+def _rake_on(raked: DataFrame, goals: dict[str, DataFrame], ended: Progress) -> DataFrame:
+    """``raked`` swept on, on the driver, until ``ended``."""
+    rows = raked.toArrow()
+    tokens = rows["tokens"].to_numpy().astype(float)
+    w = tokens * rows["ratio"].to_numpy()
+    steps = []
+    for d in DIMENSIONS:
+        goal = {r["value"]: r["goal"] for r in goals[d].collect()}
+        code = {v: i for i, v in enumerate(goal)}
+        steps.append((np.array([code[v] for v in rows[d].to_pylist()]), np.array(list(goal.values()))))
+    error = float("inf")
+    while not ended(error):
+        for own, goal in steps:
+            sums = np.bincount(own, w, len(goal))
+            w = w * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[own]
+        error = max(np.abs(np.bincount(own, w, len(goal))[goal > 0] / goal[goal > 0] - 1).max(initial=0.0)
+                    for own, goal in steps)
+    ratio = np.divide(w, tokens, out=np.zeros_like(w), where=tokens > 0)
+    at = rows.schema.get_field_index("ratio")
+    return raked.sparkSession.createDataFrame(rows.set_column(at, "ratio", pa.array(ratio)), raked.schema)
+
+
 def rake(cells: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """``cells`` with ratio: raked weight over tokens."""
+    """``cells`` with ratio: raked weight over tokens, after ``sweeps`` at least and until
+    the marginals meet ``goals`` within ``TOLERANCE``."""
     factors = {d: cut(g.select("value", "goal", F.lit(1.0).alias("factor"))) for d, g in goals.items()}
+    ended, small = Progress(), cells.count() <= BROADCAST_CELLS
 
     def weighted(without: str | None = None) -> DataFrame:
         out, ratio = cells, F.lit(1.0)
@@ -90,14 +153,22 @@ def rake(cells: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) ->
                 ratio = ratio * F.col(f"{d}_factor")
         return out.select(*cells.columns, ratio.alias("ratio"))
 
-    for _ in range(sweeps):
+    done = 0
+    while True:
         for d in DIMENSIONS:
             sums = (weighted(d).groupBy(F.col(d).alias("own"))
                     .agg(F.sum(F.col("tokens") * F.col("ratio")).alias("sum")))
             factors[d] = cut(factors[d].join(sums, F.col("value") == F.col("own"))
                              .select("value", "goal", F.when(F.col("sum") > 0, F.col("goal") / F.col("sum"))
                                      .otherwise(0.0).alias("factor")))
-    return weighted()
+        done += 1
+        if done < sweeps:
+            continue
+        raked = cut(weighted())
+        if ended(marginal_error(raked, factors)):
+            return raked
+        if small:
+            return _rake_on(raked, factors, ended)
 
 
 def calibrate(raked: DataFrame, keep: float) -> float:
@@ -120,7 +191,7 @@ def probabilities(described_docs: DataFrame, weights: dict[str, dict] | None = N
     """(source, lang, topic, weight, probability) for each cell; weight in tokens."""
     cells = cut(described_docs.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
     goals = {d: targets(cells, d, (weights or {}).get(d)) for d in DIMENSIONS}
-    raked = cut(rake(cells, goals))
+    raked = rake(cells, goals)
     scale = calibrate(raked, keep)
     return raked.select(*DIMENSIONS, (F.col("tokens") * F.col("ratio")).alias("weight"),
                         F.when(F.col("tokens") == 0, 1.0).otherwise(
