@@ -237,6 +237,18 @@ def test_simhash(texts, odd, spark, sf_small):
     assert left.columns == odd.columns and 2 not in [r.doc_id for r in left.collect()]
 
 
+def test_simhash_leaves_one_row_of_null_and_repeated_ids(spark):
+    a, b = ("one two three four five six " * 20).strip(), ("seven eight nine ten eleven twelve " * 20).strip()
+    rows = [(None, a), (None, a), (1, b), (1, b), (1, b.upper()), (2, b), (None, b), (3, "other words altogether here"),
+            (None, "a text of null ids alone stands"), (None, "A text of null ids alone stands")]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, lang string")
+    left = simhash.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    got = left.collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in got) == sorted(
+        [("None", a), ("1", b), ("3", rows[7][1]), ("None", rows[8][1])])
+
+
 @pytest.mark.parametrize("shard", [4, 2048])
 def test_simhash_links_of_crowded_shards(spark, monkeypatch, shard):
     monkeypatch.setattr(simhash, "SHARD", shard)

@@ -249,10 +249,32 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without the rows whose component has a smaller doc_id."""
-    go = (_grouped(docs).where(F.col("doc_id") != F.col("component_id"))
-          .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct())
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return (rows.join(go, (F.col("row.doc_id") == F.col("gone_id"))
-                      & (F.xxhash64(whole_text("row.text")) == F.col("gone_key")), "left_anti")
-            .select("row.*"))
+    """One row of each component, all columns: that with the smallest doc_id (nulls last),
+    then text hash; one of equal rows. Texts whose rows have null ids alone are linked too."""
+    fps = cut(with_fingerprint(docs))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
+                   F.col("text_key").alias("key"))
+    nodes = cut(fps.groupBy("fp").agg(F.min(own).alias("least")).withColumn("node", F.col("fp")))
+    named = cut(nodes.join(components(links(nodes.select("fp", "node"))), "node", "left")
+                .select("fp", "least", F.coalesce("component", "node").alias("component")))
+    stays = (named.groupBy("component").agg(F.min("least").alias("stays"))
+             .select(F.col("stays.id").alias("doc_id"), F.col("stays.key").alias("text_key"),
+                     F.lit(True).alias("stays")))
+
+    def same(a_id, a_key, b_id, b_key):
+        return F.col(a_id).eqNullSafe(F.col(b_id)) & (F.col(a_key) == F.col(b_key))
+
+    pairs = fps.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    other = cut(pairs.alias("p").join(stays.alias("s"), same("p.doc_id", "p.text_key", "s.doc_id", "s.text_key"), "left")
+                .where(F.col("stays").isNull() | (F.col("n") > 1))
+                .select(F.col("p.doc_id").alias("of_id"), F.col("p.text_key").alias("of_key"),
+                        F.col("stays").isNotNull().alias("repeated")))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("key"))
+    left = rows.join(other, same("id", "key", "of_id", "of_key"), "left_anti").select("row.*")
+    repeated = other.where("repeated")
+    if repeated.isEmpty():
+        return left
+    one = (rows.join(repeated, same("id", "key", "of_id", "of_key"), "left_semi")
+           .groupBy("id", "key").agg(F.first("row").alias("row")))
+    return left.unionAll(one.select("row.*"))
