@@ -1,7 +1,9 @@
 """Plain-Python versions of what the operators must return."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 import xxhash
@@ -91,3 +93,83 @@ def jaccard(a, b, n=5):
         return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))}
     x, y = grams(a), grams(b)
     return len(x & y) / len(x | y)
+
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fim(doc_id, text):
+    """(n, form, prefix_chars, middle_chars, output)."""
+    text = text or ""
+    u = UNIT.findall(text)
+    h = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    a, b = sorted((h1 % (len(u) + 1), h2 % (len(u) + 1)))
+    pre, mid, suf = "".join(u[:a]), "".join(u[a:b]), "".join(u[b:])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return len(u), "plain", None, None, text
+    if h4 % 100 < 80:
+        return len(u), "spm", len(pre), len(mid), f"<S>{suf}<P>{pre}<M>{mid}"
+    return len(u), "psm", len(pre), len(mid), f"<P>{pre}<S>{suf}<M>{mid}"
+
+
+def top_k(rows, k=5, every=50):
+    """[(query's place, query_id, rank, vec_id, score)] of rows (vec_id, vector), repeats and odd vectors too."""
+    code = {}
+    for i, (_, v) in enumerate(rows):
+        if v is not None and all(x is not None and math.isfinite(x) and math.isfinite(256 * x) for x in v):
+            code[i] = [math.floor(256 * x) for x in v]
+    out = []
+    for i, c in code.items():
+        if rows[i][0] is None or rows[i][0] % every:
+            continue
+        scores = [(-min(max(sum(x * y for x, y in zip(c, o)), -2 ** 63), 2 ** 63 - 1), rows[j][0] is None, rows[j][0] or 0)
+                  for j, o in code.items() if j != i]
+        out += [(rows[i][0], r + 1, None if none else v, -s) for r, (s, none, v) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=str)
+
+
+def _hash(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle_leaf(row):
+    return _hash(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def merkle_tree(leaves):
+    """All levels, the last with one node."""
+    levels = [leaves]
+    while len(levels[-1]) > 1:
+        levels.append([_hash(*levels[-1][i:i + 16]) for i in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def _path(levels, i):
+    """(run, place in the run) on each level that has several nodes."""
+    for level in levels[:-1]:
+        a = i // 16 * 16
+        yield level[a:a + 16], i - a
+        i //= 16
+
+
+def merkle(rows):
+    """[(doc_id, leaf, subroot, root, proof, folded, verified)] of rows (doc_id, source, lang, n_chars, text)."""
+    order = sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[0] is not None, r[0] or 0, merkle_leaf(r)))
+    groups = defaultdict(list)
+    for r in order:
+        groups[r[1]].append(r)
+    trees = [merkle_tree([merkle_leaf(r) for r in g]) for g in groups.values()]
+    top, out = merkle_tree([t[-1][0] for t in trees]), []
+    root = top[-1][0]
+    for k, (g, tree) in enumerate(zip(groups.values(), trees)):
+        for i, r in enumerate(g):
+            path = [*_path(tree, i), *_path(top, k)]
+            proof = _hash(*(s for run, at in path for j, s in enumerate(run) if j != at))
+            node = tree[0][i]
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None:
+                node = merkle_leaf((*r[:4], re.sub("[A-Z]", lambda m: m[0].lower(), r[4])))
+            for run, at in path:
+                node = _hash(*run[:at], node, *run[at + 1:])
+            out.append((r[0], tree[0][i], tree[-1][0], root, proof, node, node == root))
+    return out

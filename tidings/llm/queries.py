@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidings.llm import (exact_dedup, fingerprints, licenses, mixing, packing, quality, secrets,
-                         simhash, toxicity, urls)
+from tidings.llm import (exact_dedup, fim, fingerprints, licenses, merkle, mixing, packing, quality,
+                         secrets, simhash, topk, toxicity, urls)
 from tidings.sources.tables import table
 
 QUERIES: dict = {}
@@ -67,3 +67,18 @@ def op9_quality(spark, sf_dir):
 @query("op10_urls")
 def op10_urls(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op11_topk", topk.TOPK_SQL)
+def op11_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_fim", fim.FIM_SQL)
+def op12_fim(spark, sf_dir):
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_merkle", merkle.MERKLE_SQL)
+def op13_merkle(spark, sf_dir):
+    return merkle.proofs(table(spark, sf_dir, "documents"))
