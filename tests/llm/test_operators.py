@@ -297,6 +297,54 @@ def test_toxicity_held_out_accuracy(spark):
     assert _learned(toxicity.score_toxicity, "toxic", spark) > 0.9
 
 
+def _plain_grams(word, p):
+    """Buckets of the marked word's n-grams and of the whole word, by 64-bit arithmetic one at a time."""
+    low, k1, k2, points = 2 ** 64 - 1, int(toxicity.K1), int(toxicity.K2), [ord(c) for c in f"<{word}>"]
+
+    def mixed(h):
+        h = (h ^ (h >> 33)) * k2 & low
+        return h ^ (h >> 29)
+
+    out = []
+    for n in range(p.n_min, p.n_max + 1):
+        for i in range(len(points) - n + 1):
+            h = 0
+            for c in points[i:i + n]:
+                h = (h * k1 + c) & low
+            out.append((mixed((h + n) & low) >> 32) % p.buckets)
+    whole = sum(mixed((c * k1 + i * k2) & low) for i, c in enumerate(points)) & low
+    return out + [(mixed(whole) >> 32) % p.buckets]
+
+
+@pytest.mark.parametrize("block", [7, 64, 1 << 18])
+def test_toxicity_is_the_softmax_of_the_mean_of_subword_means(monkeypatch, block):
+    import re
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    p, rng = toxicity.Params(buckets=1 << 10), random.Random(3)
+    model = toxicity.Model(np.random.default_rng(1).normal(0, 3, p.buckets).astype(np.float32), 0.3, p)
+    bits = ["a", "Bc", "\u00e9t\u00c9", " ", "\n", "-", "_", "\u4e2d\u6587", "\U0001f600", "\u0130", "word" * 9, "\x00"]
+    texts = ["", " -- ", "x", "ab" * 500] + ["".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(60)]
+    for text, got in zip(texts, toxicity.scorer(model)(texts)):
+        words = re.findall(r"\w+", text.lower())
+        z = model.bias + sum(np.mean([float(model.word_logit[g]) for g in _plain_grams(w, p)]) for w in words) / max(1, len(words))
+        assert got == pytest.approx(1 / (1 + np.exp(-max(-30, min(30, z)))), abs=1e-9), text
+        ids, weights = toxicity.bag(text, p)
+        assert model.bias + float(weights @ model.word_logit[ids]) == pytest.approx(z, abs=1e-4)
+
+
+def test_toxicity_of_one_long_word_takes_bounded_memory():
+    import time
+    import tracemalloc
+    score = toxicity.scorer(toxicity.Model(np.ones(1 << 16, np.float32), 0.0, toxicity.Params()))
+    score(["warm"])
+    word, start = "ab" * 2_500_000, time.time()
+    tracemalloc.start()
+    score([word])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130e6 and time.time() - start < 20
+
+
 def test_quality_held_out_accuracy(spark):
     assert _learned(quality.score_quality, "quality", spark) > 0.8
 
