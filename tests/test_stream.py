@@ -8,14 +8,14 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tidings.plans.digest import RunConfig
+from tidings.sources.run_store import RunStore
 from tidings.streaming.poll import poll
 
 CFG = RunConfig(sender="src", max_tokens=400, overlap=50)
 
 
 def _outbox_ids(spark, out):
-    return [r.msg_uid for r in spark.read.parquet(os.path.join(out, "outbox"))
-            .select("msg_uid").collect()]
+    return [r.msg_uid for r in RunStore(spark, out).table("outbox").select("msg_uid").collect()]
 
 
 def test_poll_first_idle_overlap_replay(spark, sf_small):
@@ -55,7 +55,7 @@ def test_failed_messages_come_back_next_batch(spark, sf_small):
         part = [f for f in os.listdir(d) if f.endswith(".parquet")][0]
         shutil.copy(os.path.join(d, part), os.path.join(src, f"part-{name}.parquet"))
     poll(spark, src, out, ck, CFG)
-    oc = spark.read.parquet(os.path.join(out, "outcomes"))
+    oc = RunStore(spark, out).table("outcomes")
     assert sorted(r.msg_uid for r in oc.where("status = 'no_body'").collect()) == \
         [0, 10, 20, 30, 40]
     docs.where((F.col("doc_id") >= 50) & (F.col("doc_id") < 60)).coalesce(1) \
@@ -63,13 +63,14 @@ def test_failed_messages_come_back_next_batch(spark, sf_small):
     part = [f for f in os.listdir(os.path.join(base, "b")) if f.endswith(".parquet")][0]
     shutil.copy(os.path.join(base, "b", part), os.path.join(src, "part-b.parquet"))
     poll(spark, src, out, ck, CFG)
-    oc = spark.read.parquet(os.path.join(out, "outcomes"))
-    last = oc.where(F.col("batch_id") == oc.agg(F.max("batch_id")).first()[0])
+    oc = RunStore(spark, out).table("outcomes")
+    last = oc.where(F.col("run_id") == oc.agg(F.max("run_id")).first()[0])
     got = {r.msg_uid: r.status for r in last.collect()}
     # the failures of the first batch are tried again with the new file
     assert {0, 10, 20, 30, 40} <= set(got) and got[0] == "no_body"
+    assert {r.msg_uid: r.attempts for r in last.collect()} == {u: 2 if u < 50 else 1 for u in got}
     assert {u for u, st in got.items() if st == "sent"} == set(range(51, 60))
-    sent = [r.msg_uid for r in spark.read.parquet(os.path.join(out, "outbox")).collect()]
+    sent = _outbox_ids(spark, out)
     assert len(sent) == len(set(sent)) == 45 + 9
 
 

@@ -1,7 +1,7 @@
 """Unread filter and read state.
 
-The mailbox's read flag becomes an append-only ledger table
-``read_ledger(msg_uid, run_id, marked_at)``. Unread means "no ledger row",
+The mailbox's read flag becomes a ledger of ids (kept by
+``tidings.sources.run_store``). Unread means "no ledger row",
 a ``left_anti`` join that Catalyst plans as a broadcast hash join when the
 ledger's measured size is under the broadcast threshold and as a sort-merge
 join otherwise; nothing here forces a broadcast, since the ledger grows with
@@ -55,16 +55,3 @@ def ledger_after_run(ledger: DataFrame, outcomes: DataFrame, run_id: str,
            .join(ledger.select(uid), on=uid, how="left_anti")
            .select(uid, F.lit(run_id).alias("marked_by")))
     return old.unionByName(new)
-
-
-def append_ledger(outcomes: DataFrame, path: str, run_id: str,
-                  uid: str = "msg_uid") -> None:
-    """This run's delivered ids, as partition ``run_id`` of the ledger table at
-    ``path``; a rerun of the same id replaces its own rows.
-
-    Called only after the outbox write has committed, so a crash between
-    the two leaves messages unread (they are re-sent, never lost).
-    """
-    (delivered_ids(outcomes, uid)
-     .select(F.col(uid), F.current_timestamp().alias("marked_at"))
-     .write.mode("overwrite").parquet(f"{path}/run_id={run_id}"))

@@ -6,8 +6,8 @@ The plan of a run (the staged messages are written while it is built):
                                                                   ├─ summary ─ render ─ outbox
     (extractive sections, or a plug-in model fold) ───────────────┘      └─ outcomes ─ ledger
 
-``write_run`` writes the outbox first and appends to the ledger only after
-that write has committed, so a failure anywhere leaves messages unread and
+``commit_run`` writes the outbox, delivers it, and publishes outbox, outcomes and
+ledger in one step, so a failure anywhere leaves messages unread and
 the next run picks them up again (at-least-once, never lost).
 """
 
@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 from tidings.functions.chunk import DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN, chunk_text
 from tidings.operators import extractive as X
 from tidings.operators.body import select_body, subject_or_fallback
-from tidings.operators.outcomes import classify
+from tidings.operators.deliver import to_outbox
+from tidings.operators.outcomes import classify, confirm_sends
 from tidings.operators.prompt import DEFAULT_FOCUS, SYSTEM_PROMPT
 from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subject,
                                       info_header, inject_header, original_elements)
-from tidings.operators.state import append_ledger, unread_from_sender
+from tidings.operators.state import delivered_ids, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
 from tidings.session import materialize_by_key
 from tidings.sources.mime import parse_mime
+from tidings.sources.run_store import RunStore
 
 
 @dataclass(frozen=True)
@@ -192,22 +194,42 @@ def config_from_settings(row) -> RunConfig:
                      focus=row["prompt_focus"], system_prompt=row["system_prompt"])
 
 
-def write_run(outbox: DataFrame, outcomes: DataFrame, out_dir: str,
-              run_id: str) -> None:
-    """Outbox first, then outcomes, then the ledger rows of delivered ids.
-
-    Each goes to the run's own partition, which is overwritten as a whole: a
-    rerun that writes no rows leaves none of the earlier attempt's. A rerun
-    reads a ledger without the rows of its own ``run_id``."""
-    outbox.write.mode("overwrite").parquet(f"{out_dir}/outbox/run_id={run_id}")
-    outcomes.write.mode("overwrite").parquet(f"{out_dir}/outcomes/run_id={run_id}")
-    written = outbox.sparkSession.read.parquet(f"{out_dir}/outcomes/run_id={run_id}")
-    append_ledger(written, f"{out_dir}/read_ledger", run_id)
-
-
-def run_and_write(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
-                  out_dir: str, run_id: str, summarizer=None) -> None:
-    """One batch run, written: the summary plan runs once for both outputs,
-    the outbox commits before the ledger moves."""
-    outbox, outcomes = run_digest(messages, ledger, cfg, summarizer, both_outputs=True)
-    write_run(outbox, outcomes, out_dir, run_id)
+def commit_run(store: RunStore, run_id: str, messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
+               summarizer=None, deliver=to_outbox, plan=run_digest, keep=None) -> bool:
+    """One run, delivered and published; False if ``run_id`` is published already.
+
+    The outbox is written, its rows are delivered, and only confirmed deliveries
+    enter the ledger. Outbox, send results, outcomes, ledger and ``retry`` (the rows of ``keep`` whose message
+    was not delivered) show together, when the run's manifest is published. Of a run that died
+    before that nothing shows; its rerun delivers what no earlier attempt's send results
+    confirm. (A delivery whose attempt died while sending is not known of: at least once.)"""
+    if store.published(run_id):
+        return False
+    attempt = store.begin(run_id)
+    outbox, outcomes = plan(messages, ledger, cfg, summarizer, both_outputs=True)
+    outbox = attempt.write("outbox", outbox)
+    before, open_ = None, outbox
+    if earlier := store.attempted("sends", run_id):
+        before = outbox.sparkSession.read.parquet(*earlier).where("delivered").select(
+            "msg_uid", "delivered", "send_error").dropDuplicates(["msg_uid"])
+        open_ = outbox.join(before, "msg_uid", "left_anti")
+    sends = deliver(open_)
+    sends = attempt.write("sends", sends if before is None else sends.unionByName(before))
+    outcomes = attempt.write("outcomes", confirm_sends(outcomes, sends))
+    attempt.write("ledger", delivered_ids(outcomes).hint("rebalance"))
+    if keep is not None:
+        failed = outcomes.where(F.col("status") != "sent").select("msg_uid")
+        attempt.write("retry", keep.join(failed, "msg_uid", "left_semi"))
+    attempt.publish()
+    store.compact_if_due()
+    return True
+
+
+def run_and_write(messages: DataFrame, ledger: DataFrame, cfg: RunConfig, out_dir: str, run_id: str,
+                  summarizer=None, deliver=to_outbox, plan=run_digest) -> RunStore:
+    """One batch run into the store at ``out_dir``. ``ledger`` is what was read before the
+    store began; what the store's runs delivered counts as read too."""
+    store = RunStore(messages.sparkSession, out_dir)
+    own = store.ledger(messages.schema["msg_uid"].dataType, messages).select("msg_uid")
+    commit_run(store, run_id, messages, ledger.select("msg_uid").unionByName(own), cfg, summarizer, deliver, plan)
+    return store

@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import functions as F
-
 from tidings.plans.q_digest import CFG
 from tidings.plans.q_mail import sql_strip
 from tidings.plans.q_text import SENDER
@@ -28,7 +26,6 @@ def q_incremental_poll(spark, sf_dir):
     fresh folder under the shared checkpoint folder; the outcomes equal the
     batch run's."""
     base = scratch_path(spark, "poll", uuid.uuid4().hex)
-    poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
-         glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir))
-    return (spark.read.parquet(os.path.join(base, "out", "outcomes"))
-            .select("msg_uid", F.col("status")))
+    store = poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
+                 glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir))
+    return store.table("outcomes").select("msg_uid", "status")

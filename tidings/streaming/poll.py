@@ -2,42 +2,39 @@
 
 A scheduled run takes whatever arrived since the last one: a file-source
 ``readStream`` with ``trigger(availableNow=True)`` processes the new files
-and stops. Each micro-batch goes through the batch digest run in
-``foreachBatch`` and writes four tables under ``out_dir``, each partitioned
-by ``(stream_id, batch_id)``; a batch overwrites its own partition.
-``stream_id`` is the query id kept in the checkpoint: stable across restarts
-of one checkpoint, new for a fresh one, so batch numbers never collide.
-
-* ``outbox``: digests to deliver;
-* ``outcomes``: one row per message and status;
-* ``read_ledger``: ids delivered in that batch;
+and stops. Each micro-batch is one run of `tidings.plans.digest.commit_run` in
+``foreachBatch``: its tables show together once its manifest is published in the
+`RunStore` below ``out_dir``:
+
+* ``outbox``, ``sends``: digests and what became of their delivery;
+* ``outcomes``: one row per message and status, with ``attempts``, the runs that tried it;
+* the ledger: ids whose delivery was confirmed;
 * ``retry``: the messages that were not delivered, carried into the next
   batch (a checkpoint never re-reads a file, so failed mail would otherwise
   be lost to the stream; the reference leaves such mail unread). A poll that
   finds no new file runs them alone.
 
-Replay safety: a batch replayed after a crash rewrites the same partitions,
-and its unread check skips only its own (and later) ledger partitions of the
-same stream, so nothing written by the failed attempt hides a message from
-its replay; a replay from a fresh checkpoint sees the whole ledger and sends
-nothing twice. Exactly-once delivery then rests on the gateway reading
-committed outbox partitions.
+Replay safety: a run is named by the query id kept in the checkpoint (stable across
+restarts of one checkpoint, new for a fresh one) and its batch number. A batch that is
+replayed after its run was published does nothing; one whose run was not published
+runs again, and nothing the dead attempt wrote is seen. A replay from a fresh checkpoint
+sees the whole ledger and sends nothing twice.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from tidings.operators.body import PART_TYPE
-from tidings.plans.digest import RunConfig, run_digest
-
-MESSAGE_COLS = ["msg_uid", "sender", "subject", "is_multipart", "parts"]
-
+from tidings.operators.deliver import to_outbox
+from tidings.plans.digest import RunConfig, commit_run, run_digest
+from tidings.sources.run_store import RunStore
 
 def documents_as_messages(df: DataFrame) -> DataFrame:
     """``documents`` rows as single-part plain-text messages."""
@@ -51,127 +48,101 @@ def documents_as_messages(df: DataFrame) -> DataFrame:
                      F.array(part).cast(PART_TYPE).alias("parts"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The query id the checkpoint keeps (its ``metadata`` file)."""
+    return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
 
-def _write(df: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
-    """The batch's own partition, overwritten as a whole: a replay without rows
-    clears what the failed attempt left."""
-    df.write.mode("overwrite").parquet(f"{path}/stream_id={stream_id}/batch_id={batch_id}")
 
+def _last_run(store: RunStore, sid: str) -> dict | None:
+    """The manifest of the stream's last published run, from the newest epoch that has one."""
+    number, _ = store.epoch()
+    for epoch in range(number, -1, -1):
+        if names := store.files.names(f"{store.root}/runs/epoch={epoch:08d}/{sid}-*.json"):
+            return json.loads(store.files.read(names[-1]))
+    return None
 
-def _with_keys(schema: ST.StructType) -> ST.StructType:
-    return ST.StructType(list(schema.fields) + [
-        ST.StructField("stream_id", ST.StringType()),
-        ST.StructField("batch_id", ST.LongType())])
 
+def pending(store: RunStore, sid: str, schema: ST.StructType) -> DataFrame | None:
+    """The messages that the stream's last run left undelivered, with their ``attempts`` so far."""
+    last = _last_run(store, sid)
+    if last is None:
+        return None
+    kept = ST.StructType([*schema.fields, ST.StructField("attempts", ST.IntegerType())])
+    return store.spark.read.schema(kept).parquet(last["tables"]["retry"])
 
-def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The query id the checkpoint keeps (its ``metadata`` file)."""
-    return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
 
+def _commit(store: RunStore, run_id: str, msgs: DataFrame, cfg: RunConfig, initial_ledger: DataFrame | None,
+            summarizer, deliver, plan) -> None:
+    """One run over ``msgs`` (``attempts``: how many runs tried each before)."""
+    msgs = msgs.withColumn("attempts", F.col("attempts") + 1)
+    uid = msgs.schema["msg_uid"].dataType
+    ledger = store.ledger(uid, msgs).select("msg_uid")
+    if initial_ledger is not None:
+        ledger = ledger.unionByName(initial_ledger.select("msg_uid"))
+    tries = msgs.select("msg_uid", "attempts")
 
-def _message_cols(df: DataFrame) -> DataFrame:
-    """The columns of a message; ``parse_ok`` where the source knows it."""
-    return df.select(*MESSAGE_COLS, *(["parse_ok"] if "parse_ok" in df.columns else []))
-
-
-def _pending(spark: SparkSession, out_dir: str, sid: str, schema: ST.StructType,
-             before: int | None = None) -> DataFrame:
-    """The messages that the stream's last batch (below ``before``) left undelivered."""
-    # explicit schema: a batch with no failures writes no files
-    prev = (spark.read.schema(_with_keys(schema)).parquet(os.path.join(out_dir, "retry"))
-            .where(F.col("stream_id") == sid))
-    if before is not None:
-        prev = prev.where(F.col("batch_id") < before)
-    last = prev.agg(F.max("batch_id")).scalar()
-    return prev.where(F.col("batch_id") == last).drop("stream_id", "batch_id")
-
-
-def _ledger(spark: SparkSession, out_dir: str, uid_schema: ST.StructType,
-            initial: DataFrame | None, hidden=None) -> DataFrame:
-    """Ids delivered so far, without the ledger rows for which ``hidden`` holds."""
-    path = os.path.join(out_dir, "read_ledger")
-    known = [] if initial is None else [initial.select("msg_uid")]
-    if _exists(spark, path):
-        done = spark.read.schema(_with_keys(uid_schema)).parquet(path)
-        known.append((done if hidden is None else done.where(~hidden)).select("msg_uid"))
-    known = known or [spark.createDataFrame([], uid_schema)]
-    return known[0] if len(known) == 1 else known[0].unionByName(known[1])
-
-
-def _deliver(msgs: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer, out_dir: str,
-             sid: str, batch_id: int) -> DataFrame:
-    """One run over ``msgs``, written below (sid, batch_id); the outcomes read back."""
-    spark = msgs.sparkSession
-    outbox, outcomes = run_digest(msgs, ledger, cfg, summarizer, both_outputs=True)
-    _write(outbox, os.path.join(out_dir, "outbox"), sid, batch_id)
-    _write(outcomes, os.path.join(out_dir, "outcomes"), sid, batch_id)
-    written = (spark.read.schema(_with_keys(outcomes.schema))
-               .parquet(os.path.join(out_dir, "outcomes"))
-               .where((F.col("stream_id") == sid) & (F.col("batch_id") == batch_id)))
-    _write(written.where(F.col("status") == "sent").select("msg_uid"),
-           os.path.join(out_dir, "read_ledger"), sid, batch_id)
-    return written
+    def counted(messages, ledger, cfg, summarizer, **options):
+        outbox, outcomes = plan(messages.drop("attempts"), ledger, cfg, summarizer, **options)
+        return outbox, outcomes.join(tries, "msg_uid", "left")
+    commit_run(store, run_id, msgs, ledger, cfg, summarizer, deliver, counted, keep=msgs)
 
 
 def make_batch_fn(out_dir: str, checkpoint: str, cfg: RunConfig,
                   initial_ledger: DataFrame | None, to_messages=documents_as_messages,
-                  summarizer=None):
+                  summarizer=None, deliver=to_outbox, plan=run_digest):
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        sid = _stream_id(spark, checkpoint)
-        msgs = _message_cols(to_messages(batch))
-        retry_path = os.path.join(out_dir, "retry")
-        if _exists(spark, retry_path):
-            msgs = msgs.unionByName(_pending(spark, out_dir, sid, msgs.schema, batch_id))
-        msgs = msgs.dropDuplicates(["msg_uid"])
-        ledger = _ledger(spark, out_dir, msgs.select("msg_uid").schema, initial_ledger,
-                         (F.col("stream_id") == sid) & (F.col("batch_id") >= batch_id))
-        written = _deliver(msgs, ledger, cfg, summarizer, out_dir, sid, batch_id)
-        failed = written.where(F.col("status") != "sent").select("msg_uid")
-        _write(msgs.join(failed, "msg_uid", "left_semi"), retry_path, sid, batch_id)
+        store, sid = RunStore(spark, out_dir), _stream_id(spark, checkpoint)
+        run_id = f"{sid}-{batch_id:012d}"
+        if store.published(run_id):
+            return
+        msgs = to_messages(batch)
+        left = pending(store, sid, msgs.schema)
+        if left is None:
+            msgs = msgs.withColumn("attempts", F.lit(0))
+        else:
+            # a message that arrives again keeps its count
+            tried = left.select("msg_uid")
+            msgs = msgs.join(tried, "msg_uid", "left_anti").withColumn("attempts", F.lit(0)).unionByName(left)
+        _commit(store, run_id, msgs.dropDuplicates(["msg_uid"]), cfg, initial_ledger, summarizer, deliver, plan)
     return process
 
 
 def retry_pending(spark: SparkSession, out_dir: str, checkpoint: str, cfg: RunConfig,
                   initial_ledger: DataFrame | None, schema: ST.StructType,
-                  summarizer=None) -> None:
-    """A pass over the undelivered messages alone, for a poll without new files (I4).
-
-    It writes under a stream id of its own, numbered by the passes that
-    delivered something, so no batch overwrites it and a crashed pass is
-    rewritten by the next one. The ``retry`` table stays as it is: the ledger
-    keeps what the pass delivered out of the next batch."""
-    sid = _stream_id(spark, checkpoint)
-    if not _exists(spark, os.path.join(out_dir, "retry")):
-        return
-    msgs = _pending(spark, out_dir, sid, schema)
-    if msgs.isEmpty():
+                  summarizer=None, deliver=to_outbox, plan=run_digest) -> None:
+    """A run over the undelivered messages alone, for a poll without new files (I4).
+
+    It is named after the stream's last run, so that runs sort in the order they took place;
+    a pass that died is rewritten by the next one."""
+    store, sid = RunStore(spark, out_dir), _stream_id(spark, checkpoint)
+    last, msgs = _last_run(store, sid), pending(store, sid, schema)
+    if last is None or msgs.isEmpty():
         return
-    uid_schema, own = msgs.select("msg_uid").schema, f"{sid}-retry"
-    last = (spark.read.schema(_with_keys(uid_schema)).parquet(os.path.join(out_dir, "read_ledger"))
-            .where(F.col("stream_id") == own).agg(F.max("batch_id")).first()[0])
-    _deliver(msgs, _ledger(spark, out_dir, uid_schema, initial_ledger), cfg, summarizer,
-             out_dir, own, 0 if last is None else last + 1)
+    batch, _, passes = last["run"].partition(".retry")
+    _commit(store, f"{batch}.retry{int(passes or 0) + 1:08d}", msgs, cfg, initial_ledger, summarizer, deliver, plan)
 
 
-def poll(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
+def parquet_files(source_dir: str, glob: str = "*.parquet", max_files: int | None = None):
+    """A source for `poll`: new parquet files below a folder."""
+    def stream(spark: SparkSession) -> DataFrame:
+        schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
+        reader = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", glob)
+        return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(source_dir)
+    return stream
+
+
+def poll(spark: SparkSession, source: str | Callable[[SparkSession], DataFrame], out_dir: str, checkpoint: str,
          cfg: RunConfig, glob: str = "*.parquet",
          initial_ledger: DataFrame | None = None, max_files: int | None = None,
-         to_messages=documents_as_messages, summarizer=None) -> None:
+         to_messages=documents_as_messages, summarizer=None, deliver=to_outbox, plan=run_digest) -> RunStore:
     """Process every file not yet seen by ``checkpoint``, then stop (I1/I2);
-    without such a file, try the undelivered messages again (I4)."""
-    schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-    reader = (spark.readStream.format("parquet").schema(schema)
-              .option("pathGlobFilter", glob))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    stream = reader.load(source_dir)
-    process = make_batch_fn(out_dir, checkpoint, cfg, initial_ledger, to_messages, summarizer)
+    without such a file, try the undelivered messages again (I4).
+
+    ``source`` is a folder of parquet files or gives a streaming DataFrame; ``to_messages``
+    turns its rows into what ``plan`` runs on (`run_digest`, or `run_raw` for raw mail)."""
+    stream = (parquet_files(source, glob, max_files) if isinstance(source, str) else source)(spark)
+    process = make_batch_fn(out_dir, checkpoint, cfg, initial_ledger, to_messages, summarizer, deliver, plan)
     batches = []
 
     def counted(batch: DataFrame, batch_id: int) -> None:
@@ -183,5 +154,6 @@ def poll(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if not batches:
-        messages = _message_cols(to_messages(spark.createDataFrame([], schema))).schema
-        retry_pending(spark, out_dir, checkpoint, cfg, initial_ledger, messages, summarizer)
+        messages = to_messages(spark.createDataFrame([], stream.schema)).schema
+        retry_pending(spark, out_dir, checkpoint, cfg, initial_ledger, messages, summarizer, deliver, plan)
+    return RunStore(spark, out_dir)
