@@ -172,6 +172,14 @@ def top_window_sentences(docs: DataFrame, weights: DataFrame, k: int,
         F.size("windows").cast("bigint").alias("n_windows"))
 
 
+def has_digest(text) -> Column:
+    """Whether `digest_html` of a nonblank text's sections has any: a title, a term (then
+    there are keywords) or a sentence (then one is picked)."""
+    t = col_(text)
+    term = F.exists(F.split(F.lower(t), TERM_SPLIT_RE), lambda r: F.length(r) >= TERM_MIN_LEN)
+    return title_of(t).isNotNull() | term | (F.size(sentences(t)) > 0)
+
+
 def digest_html(title, date, exec_summary, keyword_text, detailed) -> Column:
     """The sections as an HTML fragment; empty sections are left out."""
     def sec(head, body):

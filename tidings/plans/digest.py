@@ -18,7 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidings.functions.chunk import DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN, chunk_text
+from tidings.functions.chunk import (DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN, chunk_count, chunk_text,
+                                     settings_ok)
+from tidings.functions.text import n_words
 from tidings.operators import extractive as X
 from tidings.operators.body import select_body, subject_or_fallback
 from tidings.operators.deliver import to_outbox
@@ -28,11 +30,14 @@ from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subj
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import delivered_ids, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
-from tidings.session import materialize_by_key
+from tidings.session import deal_by_key, materialize_by_key
 from tidings.sources.mime import parse_mime
 from tidings.sources.run_store import RunStore
 
 
+OUTCOME_COLS = ("msg_uid", "sender", "subject", "status", "n_chars", "n_tokens", "n_chunks")
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """Resolved settings of one subscription (see ``tidings.operators.settings``)."""
@@ -51,14 +56,20 @@ class RunConfig:
     # ``tokenize.get_tokenizer``; an object with encode/decode is used as is.
     tokenizer: object = "words"
 
+    def __post_init__(self):
+        """Bad window settings stop a run before any action."""
+        if self.max_tokens is None or self.max_tokens < 1 or self.overlap is None or self.overlap < 0:
+            raise ValueError(f"windows of {self.max_tokens} tokens with an overlap of {self.overlap}: at least 1 and 0 are needed")
+
 
 def stage(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
-          selected: bool = False) -> DataFrame:
+          selected: bool = False, dealt: bool = False) -> DataFrame:
     """Unread messages of the sender with body, subject and windows.
 
     ``messages`` has ``msg_uid, sender, subject, is_multipart, parts`` and
     optionally ``parse_ok`` (from the MIME job); ``selected`` says that they
-    are the sender's unread ones already. A plug-in tokenizer is
+    are the sender's unread ones already, ``dealt`` that the rows are to be dealt by message
+    before any work on their text. A plug-in tokenizer is
     resolved here, on the driver, so an unknown name stops the run before
     any job (T6); a text it cannot encode gets NULL windows, which the
     outcome rules report as ``tokenizer_error`` for that message only."""
@@ -68,6 +79,10 @@ def stage(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     u = messages if selected else unread_from_sender(messages, ledger, cfg.sender)
     if "parse_ok" not in u.columns:
         u = u.withColumn("parse_ok", F.lit(True))
+    if dealt:
+        # below the body and window projections, so that whole messages move once and
+        # neither the windows nor the work of cutting them depends on the source's splits
+        u = deal_by_key(u, "msg_uid")
     b = select_body(u).withColumn("subject", subject_or_fallback("subject", "msg_uid"))
     if tokenizer == "words":
         c = chunk_text(b, "body", cfg.max_tokens, cfg.overlap)
@@ -125,10 +140,7 @@ def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig,
     r = r.withColumn("status", status)
     if materialize:
         r = r.checkpoint(eager=True)
-    outcomes = r.select("msg_uid", "sender", "subject", "status", "n_chars",
-                        "n_tokens", "n_chunks",
-                        F.coalesce(F.length("summary"), F.lit(0)).cast("bigint")
-                        .alias("summary_chars"))
+    outcomes = r.select(*OUTCOME_COLS, F.coalesce(F.length("summary"), F.lit(0)).cast("bigint").alias("summary_chars"))
     original = (original_elements("parts", "is_multipart") if cfg.forward
                 else F.lit(None).cast("array<struct<content_type:string,text:string>>"))
     outbox = r.where(F.col("status") == "sent").select(
@@ -153,7 +165,7 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     checkpoint instead of recomputing the lineage. ``both_outputs`` (set
     when the caller writes outbox and outcomes) also materializes the
     per-message result, so the summary plan runs once for both writes."""
-    staged = stage(messages, ledger, cfg, selected)
+    staged = stage(messages, ledger, cfg, selected, dealt=materialize)
     if materialize:
         # bucketed by message: the summary steps keyed by message reuse that
         staged = materialize_by_key(staged, "msg_uid", "tidings_staged")
@@ -174,6 +186,28 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     return finish(staged, sums, cfg, materialize and both_outputs)
 
 
+def run_statuses(messages: DataFrame, ledger: DataFrame, cfg: RunConfig, selected: bool = False) -> DataFrame:
+    """The outcomes of a run with the built-in summarizer, without ``summary_chars`` and
+    without the summaries: whether one comes out empty shows from the body alone
+    (`extractive.has_digest`), so no term statistics are needed, and the number of
+    word windows from the number of words, so none is cut."""
+    if cfg.tokenizer != "words":
+        staged = stage(messages, ledger, cfg, selected)
+    else:
+        u = messages if selected else unread_from_sender(messages, ledger, cfg.sender)
+        u = u if "parse_ok" in u.columns else u.withColumn("parse_ok", F.lit(True))
+        b = select_body(u).withColumn("subject", subject_or_fallback("subject", "msg_uid"))
+        n_chunks = F.when(settings_ok(cfg.max_tokens, cfg.overlap),
+                          chunk_count("n_tokens", cfg.max_tokens, cfg.overlap))
+        staged = (b.withColumn("n_tokens", n_words("body"))
+                  .withColumn("n_chars", F.coalesce(F.length("body"), F.lit(0)).cast("bigint"))
+                  .withColumn("chunks", F.array_repeat(F.lit(0), n_chunks))
+                  .withColumn("n_chunks", F.coalesce(n_chunks, F.lit(0)).cast("bigint")))
+    summary = F.when(X.has_digest("body"), F.lit("x"))
+    status = classify("parse_ok", "body", "chunks", F.lit(None).cast("string"), summary)
+    return staged.withColumn("status", status).select(*OUTCOME_COLS)
+
+
 def run_raw(raw: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer=None, **options):
     """A run over raw mail ``(msg_uid, sender, raw)``: the envelope's sender and
     the ledger choose the messages before anything is parsed, so only those
@@ -182,6 +216,11 @@ def run_raw(raw: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer=None,
     return run_digest(parse_mime(mine), ledger, cfg, summarizer, selected=True, **options)
 
 
+def raw_statuses(raw: DataFrame, ledger: DataFrame, cfg: RunConfig) -> DataFrame:
+    """`run_statuses` over raw mail, chosen before it is parsed as in `run_raw`."""
+    return run_statuses(parse_mime(unread_from_sender(raw, ledger, cfg.sender)), ledger, cfg, selected=True)
+
+
 def config_from_settings(row) -> RunConfig:
     """A ``RunConfig`` from one row of ``settings.resolve`` (a subscription
     that ``settings.rejects`` does not list)."""

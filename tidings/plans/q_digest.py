@@ -14,10 +14,11 @@ from tidings.operators.render import (ATTACH_FAILED, DEFAULT_MODEL, ORIGINAL_SEP
                                       elements_text, info_header, inject_header,
                                       original_elements)
 from tidings.operators.state import ledger_after_run
-from tidings.plans.digest import RunConfig, run_digest, run_raw
+from tidings.plans.digest import RunConfig, raw_statuses, run_digest, run_raw, run_statuses
 from tidings.plans.q_mail import SQL_MAIL, sql_strip
 from tidings.plans.q_text import SENDER, WIN_M, WIN_O, _sql_windows, sql_words
 from tidings.plans.registry import query
+from tidings.session import written
 from tidings.sources import tables as T
 from tidings.sources.mailbox import mail_view, raw_mails
 
@@ -40,6 +41,10 @@ def _run(spark, sf_dir, cfg=CFG, summarizer=None):
                       summarizer)
 
 
+def _statuses(spark, sf_dir, cfg=CFG):
+    return run_statuses(mail_view(spark, sf_dir), T.read_ledger(spark, sf_dir), cfg)
+
+
 SQL_STAGE = f"""
 WITH {SQL_MAIL},
 u AS (SELECT * FROM b WHERE contains(lower(sender), lower('{SENDER}'))
@@ -61,16 +66,14 @@ oc AS (SELECT msg_uid, sender,
 SELECT msg_uid, sender, status, n_chars, n_tokens, n_chunks FROM oc
 """)
 def q_outcomes(spark, sf_dir):
-    _, oc = _run(spark, sf_dir)
-    return oc.select("msg_uid", "sender", "status", "n_chars", "n_tokens", "n_chunks")
+    return _statuses(spark, sf_dir).drop("subject")
 
 
 @query("outcome_counts", f"""{SQL_STAGE}
 SELECT status, CAST(count(*) AS BIGINT) AS n_messages FROM oc GROUP BY status
 """)
 def q_outcome_counts(spark, sf_dir):
-    _, oc = _run(spark, sf_dir)
-    return outcome_counts(oc)
+    return outcome_counts(_statuses(spark, sf_dir))
 
 
 @query("size_stats", f"""{SQL_STAGE}
@@ -82,8 +85,7 @@ SELECT sender, CAST(count(*) AS BIGINT) AS n_messages,
 FROM oc GROUP BY sender
 """)
 def q_size_stats(spark, sf_dir):
-    _, oc = _run(spark, sf_dir)
-    return size_stats(oc)
+    return size_stats(_statuses(spark, sf_dir))
 
 
 @query("ledger_after_run", f"""{SQL_STAGE}
@@ -93,8 +95,7 @@ SELECT msg_uid, '{RUN_ID}' AS marked_by FROM oc WHERE status = 'sent'
   AND msg_uid NOT IN (SELECT doc_id FROM labels WHERE quality = 1)
 """)
 def q_ledger_after_run(spark, sf_dir):
-    _, oc = _run(spark, sf_dir)
-    return ledger_after_run(T.read_ledger(spark, sf_dir), oc, RUN_ID)
+    return ledger_after_run(T.read_ledger(spark, sf_dir), written(_statuses(spark, sf_dir)), RUN_ID)
 
 
 @query("raw_run_outcomes", f"""{SQL_STAGE}
@@ -102,8 +103,7 @@ SELECT msg_uid, sender, status, n_chars, n_tokens, n_chunks FROM oc
 """)
 def q_raw_run_outcomes(spark, sf_dir):
     """The outcomes of the run on raw mail, failed fetches with them."""
-    _, oc = run_raw(raw_mails(spark, sf_dir), T.read_ledger(spark, sf_dir), CFG)
-    return oc.select("msg_uid", "sender", "status", "n_chars", "n_tokens", "n_chunks")
+    return raw_statuses(raw_mails(spark, sf_dir), T.read_ledger(spark, sf_dir), CFG).drop("subject")
 
 
 # The send results of the two queries below: a message labelled toxic is refused,
@@ -116,7 +116,8 @@ cs AS (SELECT oc.msg_uid, CASE WHEN status <> 'sent' OR rf.doc_id IS NULL THEN s
 
 
 def _confirmed(spark, sf_dir):
-    outbox, oc = _run(spark, sf_dir)
+    oc = written(_statuses(spark, sf_dir))
+    outbox = oc.where("status = 'sent'")
     refused = T.table(spark, sf_dir, "labels").where("toxic = 1").select(
         F.col("doc_id").alias("msg_uid"), F.lit(True).alias("refused")).distinct()
     no = F.col("refused").isNotNull()

@@ -78,14 +78,20 @@ def co_partition_by(df, key: str):
     return df.repartition(key)
 
 
+def deal_by_key(df, key: str):
+    """``df`` dealt to ``spark.sql.shuffle.partitions`` tasks by ``key``. Projections above run
+    in all of them, and `materialize_by_key` writes a bucket from each without another shuffle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def materialize_by_key(df, key: str, name: str):
-    """Write ``df`` once as a table bucketed by ``key`` under the shared
-    checkpoint folder and read it back.
+    """Write ``df``, which `deal_by_key` has dealt by ``key``, once as a table bucketed by it
+    under the shared checkpoint folder and read it back.
 
     Like ``checkpoint()`` it cuts the lineage (a lost executor re-reads the
     files), and unlike it the read keeps a known hash partitioning by
     ``key``, so aggregations, windows and joins keyed by ``key`` downstream
-    need no shuffle. The rows are dealt to the buckets before the write, so
+    need no shuffle. Tasks and buckets are hashed alike, so
     there is at most one file for each bucket. The table leaves the catalog at
     once: the returned DataFrame holds its files, which follow the checkpoint
     folder's retention."""
@@ -93,13 +99,21 @@ def materialize_by_key(df, key: str, name: str):
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartition(n, key).write.bucketBy(n, key).mode("overwrite")
+    (df.write.bucketBy(n, key).mode("overwrite")
        .option("path", scratch_path(spark, "tables", table)).saveAsTable(table))
     staged = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     return staged
 
 
+def written(df):
+    """``df`` written once to the shared checkpoint folder and read back, for narrow rows that
+    several steps read or filter: a filter on a computed column would otherwise be pushed below
+    its projections and compute them again."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 _SHIPPED: set[str] = set()
 
 
