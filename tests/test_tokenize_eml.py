@@ -11,7 +11,7 @@ from tidings.operators.body import select_body
 from tidings.operators.tokenize import (ByteTokenizer, DisallowSpecial, TokenizerError,
                                         WordTokenizer,
                                         get_tokenizer, tokenizer_windows, windows_py)
-from tidings.sources.mailbox import eml_files
+from tidings.sources.mail_files import eml_files
 from tidings.sources.mime import parse_mime
 
 

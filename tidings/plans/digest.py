@@ -239,7 +239,7 @@ def commit_run(store: RunStore, run_id: str, messages: DataFrame, ledger: DataFr
 
     The outbox is written, its rows are delivered, and only confirmed deliveries
     enter the ledger. Outbox, send results, outcomes, ledger and ``retry`` (the rows of ``keep`` whose message
-    was not delivered) show together, when the run's manifest is published. Of a run that died
+    was not delivered, with its ``attempts`` if the outcomes count them) show together, when the run's manifest is published. Of a run that died
     before that nothing shows; its rerun delivers what no earlier attempt's send results
     confirm. (A delivery whose attempt died while sending is not known of: at least once.)"""
     if store.published(run_id):
@@ -257,8 +257,8 @@ def commit_run(store: RunStore, run_id: str, messages: DataFrame, ledger: DataFr
     outcomes = attempt.write("outcomes", confirm_sends(outcomes, sends))
     attempt.write("ledger", delivered_ids(outcomes).hint("rebalance"))
     if keep is not None:
-        failed = outcomes.where(F.col("status") != "sent").select("msg_uid")
-        attempt.write("retry", keep.join(failed, "msg_uid", "left_semi"))
+        failed = outcomes.where(F.col("status") != "sent").select("msg_uid", *[c for c in outcomes.columns if c == "attempts"])
+        attempt.write("retry", keep.join(failed, "msg_uid"))
     attempt.publish()
     store.compact_if_due()
     return True

@@ -5,12 +5,17 @@ from __future__ import annotations
 import os
 import uuid
 
-from tidings.plans.q_digest import CFG
+from pyspark.sql import functions as F
+
+from tidings.plans.digest import raw_statuses, run_raw
+from tidings.plans.q_digest import CFG, SQL_STAGE
 from tidings.plans.q_mail import sql_strip
 from tidings.plans.q_text import SENDER
 from tidings.plans.registry import query
 from tidings.session import scratch_path
 from tidings.sources import tables as T
+from tidings.sources.mail_files import mbox_files, mbox_messages, mbox_records, write_mbox
+from tidings.sources.mailbox import raw_mails
 from tidings.streaming.poll import poll
 
 
@@ -29,3 +34,40 @@ def q_incremental_poll(spark, sf_dir):
     store = poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
                  glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir))
     return store.table("outcomes").select("msg_uid", "status")
+
+
+SQL_FILES = f"""{SQL_STAGE}
+SELECT msg_uid, sender, status, n_chars, n_tokens, n_chunks FROM oc
+"""
+
+
+def _mail_folder(spark, sf_dir):
+    """The derived mailbox as mbox files, in a fresh folder under the shared checkpoint folder."""
+    path = scratch_path(spark, "mbox", uuid.uuid4().hex)
+    write_mbox(raw_mails(spark, sf_dir), path)
+    return path
+
+
+def _id(name: str = "msg_uid"):
+    return F.col(name).cast("bigint").alias("msg_uid")
+
+
+def _ledger(spark, sf_dir):
+    return T.read_ledger(spark, sf_dir).select(F.col("msg_uid").cast("string").alias("msg_uid"))
+
+
+@query("mail_files_outcomes", SQL_FILES)
+def q_mail_files_outcomes(spark, sf_dir):
+    """The outcomes of a run on a folder of mbox files, broken fetches with them."""
+    oc = raw_statuses(mbox_files(spark, _mail_folder(spark, sf_dir), glob="*.txt"), _ledger(spark, sf_dir), CFG)
+    return oc.select(_id(), "sender", "status", "n_chars", "n_tokens", "n_chunks")
+
+
+@query("mail_files_poll", SQL_FILES)
+def q_mail_files_poll(spark, sf_dir):
+    """The same folder polled: the stream's outcomes equal the batch run's."""
+    folder, base = _mail_folder(spark, sf_dir), scratch_path(spark, "poll", uuid.uuid4().hex)
+    store = poll(spark, lambda s: mbox_records(s, folder, stream=True, glob="*.txt"), os.path.join(base, "out"),
+                 os.path.join(base, "checkpoint"), CFG, initial_ledger=_ledger(spark, sf_dir),
+                 to_messages=mbox_messages, plan=run_raw)
+    return store.table("outcomes").select(_id(), "sender", "status", "n_chars", "n_tokens", "n_chunks")

@@ -1,4 +1,4 @@
-"""A mailbox derived from the driver tables, and mail file sources.
+"""A mailbox derived from the driver tables.
 
 ``mail_source`` joins ``documents`` (plain bodies) and ``pages`` (HTML
 bodies) on id into one row per message. The tables hold none of the awkward
@@ -12,8 +12,6 @@ From that one source come two equal views of the same mail:
   (``parse_ok`` False and no parts where the fetch failed);
 * ``raw_mails``: real RFC 822 bytes (base64 parts, RFC 2047 subject), for
   the MIME parser to take apart again.
-
-``eml_files`` reads ``*.eml`` files with the ``binaryFile`` source.
 """
 
 from __future__ import annotations
@@ -165,13 +163,3 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(multi, multipart).when(F.col("has_doc"), single_plain)
            .otherwise(single_html))
     return s.select("msg_uid", "sender", F.encode(raw, "utf-8").alias("raw"))
-
-
-def eml_files(spark: SparkSession, path: str) -> DataFrame:
-    """``*.eml`` files under ``path``: uid from the file name, raw bytes."""
-    df = (spark.read.format("binaryFile")
-          .option("pathGlobFilter", "*.eml")
-          .option("recursiveFileLookup", "true").load(path))
-    return df.select(
-        F.regexp_extract("path", "([^/]+)\\.eml$", 1).alias("msg_uid"),
-        F.col("content").alias("raw"))

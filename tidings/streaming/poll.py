@@ -33,6 +33,7 @@ from pyspark.sql import types as ST
 
 from tidings.operators.body import PART_TYPE
 from tidings.operators.deliver import to_outbox
+from tidings.operators.state import sender_matches
 from tidings.plans.digest import RunConfig, commit_run, run_digest
 from tidings.sources.run_store import RunStore
 
@@ -71,19 +72,21 @@ def pending(store: RunStore, sid: str, schema: ST.StructType) -> DataFrame | Non
     return store.spark.read.schema(kept).parquet(last["tables"]["retry"])
 
 
-def _commit(store: RunStore, run_id: str, msgs: DataFrame, cfg: RunConfig, initial_ledger: DataFrame | None,
-            summarizer, deliver, plan) -> None:
-    """One run over ``msgs`` (``attempts``: how many runs tried each before)."""
-    msgs = msgs.withColumn("attempts", F.col("attempts") + 1)
-    uid = msgs.schema["msg_uid"].dataType
-    ledger = store.ledger(uid, msgs).select("msg_uid")
+def _commit(store: RunStore, run_id: str, msgs: DataFrame, tried: DataFrame | None, cfg: RunConfig,
+            initial_ledger: DataFrame | None, summarizer, deliver, plan) -> None:
+    """One run over ``msgs``; ``tried`` counts the runs before (msg_uid, attempts)."""
+    # other senders' messages are left where they are
+    msgs = msgs.where(sender_matches("sender", cfg.sender)).dropDuplicates(["msg_uid"])
+    ledger = store.ledger(msgs.schema["msg_uid"].dataType, msgs).select("msg_uid")
     if initial_ledger is not None:
         ledger = ledger.unionByName(initial_ledger.select("msg_uid"))
-    tries = msgs.select("msg_uid", "attempts")
 
     def counted(messages, ledger, cfg, summarizer, **options):
-        outbox, outcomes = plan(messages.drop("attempts"), ledger, cfg, summarizer, **options)
-        return outbox, outcomes.join(tries, "msg_uid", "left")
+        outbox, outcomes = plan(messages, ledger, cfg, summarizer, **options)
+        if tried is None:
+            return outbox, outcomes.withColumn("attempts", F.lit(1))
+        before = F.coalesce(F.col("attempts"), F.lit(0))
+        return outbox, outcomes.join(tried, "msg_uid", "left").withColumn("attempts", before + 1)
     commit_run(store, run_id, msgs, ledger, cfg, summarizer, deliver, counted, keep=msgs)
 
 
@@ -96,15 +99,13 @@ def make_batch_fn(out_dir: str, checkpoint: str, cfg: RunConfig,
         run_id = f"{sid}-{batch_id:012d}"
         if store.published(run_id):
             return
-        msgs = to_messages(batch)
+        msgs, tried = to_messages(batch), None
         left = pending(store, sid, msgs.schema)
-        if left is None:
-            msgs = msgs.withColumn("attempts", F.lit(0))
-        else:
-            # a message that arrives again keeps its count
-            tried = left.select("msg_uid")
-            msgs = msgs.join(tried, "msg_uid", "left_anti").withColumn("attempts", F.lit(0)).unionByName(left)
-        _commit(store, run_id, msgs.dropDuplicates(["msg_uid"]), cfg, initial_ledger, summarizer, deliver, plan)
+        if left is not None:
+            # a message that arrives again is taken as it is now and keeps its count
+            tried = left.select("msg_uid", "attempts")
+            msgs = msgs.unionByName(left.drop("attempts").join(msgs.select("msg_uid"), "msg_uid", "left_anti"))
+        _commit(store, run_id, msgs, tried, cfg, initial_ledger, summarizer, deliver, plan)
     return process
 
 
@@ -116,11 +117,12 @@ def retry_pending(spark: SparkSession, out_dir: str, checkpoint: str, cfg: RunCo
     It is named after the stream's last run, so that runs sort in the order they took place;
     a pass that died is rewritten by the next one."""
     store, sid = RunStore(spark, out_dir), _stream_id(spark, checkpoint)
-    last, msgs = _last_run(store, sid), pending(store, sid, schema)
-    if last is None or msgs.isEmpty():
+    last, left = _last_run(store, sid), pending(store, sid, schema)
+    if last is None or left.isEmpty():
         return
     batch, _, passes = last["run"].partition(".retry")
-    _commit(store, f"{batch}.retry{int(passes or 0) + 1:08d}", msgs, cfg, initial_ledger, summarizer, deliver, plan)
+    _commit(store, f"{batch}.retry{int(passes or 0) + 1:08d}", left.drop("attempts"), left.select("msg_uid", "attempts"),
+            cfg, initial_ledger, summarizer, deliver, plan)
 
 
 def parquet_files(source_dir: str, glob: str = "*.parquet", max_files: int | None = None):
