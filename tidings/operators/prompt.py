@@ -35,8 +35,7 @@ USER_PROMPT = (
     "Original text for this chunk: ####{chunk}####"
 )
 DEFAULT_FOCUS = ""
-TEMPERATURE = 0.7
-TOP_P = 1.0
+SAMPLING = {"temperature": 0.7, "top_p": 1.0, "frequency_penalty": 0.0, "presence_penalty": 0.0}
 # ---------------------------------------------------------------------------
 
 

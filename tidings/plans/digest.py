@@ -22,6 +22,7 @@ from tidings.functions.chunk import (DEFAULT_MAX_TOKENS, DEFAULT_OVERLAP_RUN, ch
                                      settings_ok)
 from tidings.functions.text import n_words
 from tidings.operators import extractive as X
+from tidings.operators.balance import balanced
 from tidings.operators.body import select_body, subject_or_fallback
 from tidings.operators.deliver import to_outbox
 from tidings.operators.outcomes import classify, confirm_sends
@@ -174,10 +175,10 @@ def run_digest(messages: DataFrame, ledger: DataFrame, cfg: RunConfig,
     else:
         from tidings.operators.model import model_fold
         # Rows without windows make no model call (M5), so no filter.
-        sums = model_fold(staged.select("msg_uid", "chunks"),
+        sums = model_fold(balanced(staged.select("msg_uid", "chunks", "n_chunks"), "msg_uid", "n_chunks"),
                           "msg_uid", "chunks", summarizer, focus=cfg.focus,
                           system_prompt=cfg.system_prompt,
-                          initial_context=cfg.initial_context)
+                          initial_context=cfg.initial_context, model=cfg.model)
         if materialize:
             # A hosted model need not answer the same twice: write the replies
             # once, so a retried downstream task reads them instead of asking

@@ -3,11 +3,13 @@ and the flagship run."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidings.functions.chunk import chunk_text
 from tidings.functions.text import SENTENCE_RE
-from tidings.operators.model import LeadSentence, model_fold
+from tidings.operators.model import Kept, LeadSentence, SummarizerError, model_fold
 from tidings.operators.outcomes import confirm_sends, outcome_counts, size_stats
 from tidings.operators.render import (ATTACH_FAILED, DEFAULT_MODEL, ORIGINAL_SEPARATOR,
                                       SUBJECT_DEFAULT, SUBJECT_PREFIX,
@@ -18,7 +20,7 @@ from tidings.plans.digest import RunConfig, raw_statuses, run_digest, run_raw, r
 from tidings.plans.q_mail import SQL_MAIL, sql_strip
 from tidings.plans.q_text import SENDER, WIN_M, WIN_O, _sql_windows, sql_words
 from tidings.plans.registry import query
-from tidings.session import written
+from tidings.session import deal_by_key, scratch_path, written
 from tidings.sources import tables as T
 from tidings.sources.mailbox import mail_view, raw_mails
 
@@ -242,6 +244,55 @@ def q_model_fold(spark, sf_dir):
     return model_fold(d, "doc_id", "chunks", LeadSentence())
 
 
+# Replies of the query below, by the window's length modulo 11: 0 the call raises, 1 a rate limit
+# for that request, 2 no reply, 3 a blank reply; else the first sentence.
+class Faulty(LeadSentence):
+    """`LeadSentence` that fails by that rule."""
+
+    def __call__(self, requests):
+        out = super().__call__(requests)
+        for i, r in enumerate(requests):
+            kind = len(r["chunk"]) % 11
+            if kind == 0:
+                raise ConnectionError("down")
+            out[i] = {1: SummarizerError("rate_limit"), 2: None, 3: " \n"}.get(kind, out[i])
+        return out
+
+
+@query("model_fold_errors", f"""
+WITH cw AS ({_sql_windows(WIN_M, WIN_O)}),
+r AS (SELECT doc_id, chunk_ix, CASE WHEN length(chunk) % 11 = 3 THEN '' ELSE
+               {sql_strip(f"regexp_extract(chunk, '{SENTENCE_RE}', 0)")} END AS reply,
+             CASE length(chunk) % 11 WHEN 0 THEN 'connection' WHEN 1 THEN 'rate_limit' WHEN 2 THEN 'unexpected' END AS err
+      FROM cw),
+d AS (SELECT doc_id, min(chunk_ix) FILTER (WHERE err IS NOT NULL) AS bad, arg_min(err, chunk_ix) FILTER (WHERE err IS NOT NULL) AS kind,
+             arg_max(reply, chunk_ix) FILTER (WHERE reply <> '') AS last, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY doc_id)
+SELECT doc_id, CASE WHEN bad IS NULL THEN coalesce(last, '') END AS summary, kind AS error_kind,
+       CASE WHEN bad IS NULL THEN n ELSE CAST(bad + 1 AS BIGINT) END AS n_calls FROM d
+""")
+def q_model_fold_errors(spark, sf_dir):
+    """The fold with calls that raise, fail, give nothing or a blank reply (M4, M6, M7)."""
+    d = chunk_text(T.documents(spark, sf_dir).select("doc_id", "text"), "text", WIN_M, WIN_O)
+    return model_fold(d, "doc_id", "chunks", Faulty())
+
+
+@query("model_fold_kept", f"""
+WITH cw AS ({_sql_windows(WIN_M, WIN_O)}),
+r AS (SELECT doc_id, chunk_ix,
+             {sql_strip(f"regexp_extract(chunk, '{SENTENCE_RE}', 0)")} AS reply FROM cw)
+SELECT doc_id, coalesce(arg_max(reply, chunk_ix) FILTER (WHERE reply <> ''), '') AS summary,
+       CAST(NULL AS VARCHAR) AS error_kind, CAST(count(*) AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_asked
+FROM r GROUP BY doc_id
+""")
+def q_model_fold_kept(spark, sf_dir):
+    """The second of two folds whose replies are kept: the same rows, and nothing is asked."""
+    d = deal_by_key(T.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    d = written(chunk_text(d, "text", WIN_M, WIN_O).select("doc_id", "chunks"))
+    kept = Kept(LeadSentence(), scratch_path(spark, "replies", uuid.uuid4().hex))
+    model_fold(d, "doc_id", "chunks", kept)
+    return model_fold(d, "doc_id", "chunks", kept)
+
+
 @query("render_digest", f"""
 WITH v AS (SELECT page_id, CASE page_id % 10
              WHEN 1 THEN replace(html, '<body>', '<BODY>')

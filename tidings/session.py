@@ -114,6 +114,11 @@ def written(df):
     return df.checkpoint(eager=True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 _SHIPPED: set[str] = set()
 
 
