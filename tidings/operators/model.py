@@ -107,10 +107,15 @@ def _replies(summarizer, reqs) -> list:
     return [_replies(summarizer, [r])[0] for r in reqs]
 
 
-def fold_documents(chunk_lists, summarizer, focus=DEFAULT_FOCUS,
-                   system_prompt=SYSTEM_PROMPT, initial_context="", model=DEFAULT_MODEL, known=None):
+def fold_documents(chunk_lists, summarizer, **settings):
     """Fold many documents' windows, round by round. Returns
-    ``(summaries, error_kinds, n_calls, asked)`` lists.
+    ``(summaries, error_kinds, n_calls)`` lists."""
+    return fold_lists(chunk_lists, summarizer, **settings)[:3]
+
+
+def fold_lists(chunk_lists, summarizer, focus=DEFAULT_FOCUS,
+               system_prompt=SYSTEM_PROMPT, initial_context="", model=DEFAULT_MODEL, known=None):
+    """`fold_documents`, with ``asked`` as a fourth list.
 
     ``known`` holds, for each document, replies by request hash, which are not asked for;
     ``asked`` the new ones."""
@@ -176,7 +181,7 @@ def model_fold(df: DataFrame, key: str, chunks_col: str, summarizer,
 
 
 def _fold(df: DataFrame, key: str, summarizer, settings: dict) -> DataFrame:
-    """`fold_documents` over (key, chunks) and, where there is a third column, known replies;
+    """`fold_lists` over (key, chunks) and, where there is a third column, known replies;
     with the new replies as ``asked``."""
     reply = ST.MapType(ST.StringType(), ST.StringType())
     schema = ST.StructType([ST.StructField(key, df.schema[key].dataType)] +
@@ -186,7 +191,7 @@ def _fold(df: DataFrame, key: str, summarizer, settings: dict) -> DataFrame:
         for b in batches:
             lists = [[c["chunk"] for c in (cs or [])] for cs in b.column(1).to_pylist()]
             known = [dict(k or []) for k in b.column(2).to_pylist()] if b.num_columns > 2 else None
-            s, e, n, asked = fold_documents(lists, summarizer, known=known, **settings)
+            s, e, n, asked = fold_lists(lists, summarizer, known=known, **settings)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(s, pa.string()), pa.array(e, pa.string()), pa.array(n, pa.int64()),
                  pa.array([list(a.items()) for a in asked], pa.map_(pa.string(), pa.string()))],
