@@ -71,14 +71,30 @@ def test_staged_run_reads_buckets_and_leaves_no_table(spark, sf_small):
     assert 0 < len(glob.glob(f"{new}/*.parquet")) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def test_sentence_joins_keep_both_keys(spark, sf_small):
-    # a join on (doc, term) must not reuse a partitioning by term alone,
-    # which would put every occurrence of a frequent term into one task
+@pytest.mark.parametrize("name", ["executive_summary", "detailed_summary", "digest_outbox"])
+def test_term_occurrences_are_not_shuffled_to_be_scored(spark, sf_small, name):
+    # weights come to a document as one array and meet its terms there; what is shuffled by
+    # term are the (document, term) pairs, for their document frequency
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
-    plan = _plan(spark, "executive_summary", sf_small)
-    joins = re.findall(r"SortMergeJoin \[([^\]]*)\], \[([^\]]*)\]", plan)
-    assert any(_keys(a) == _keys(b) == "doc_id, term" for a, b in joins)
-    shuffles = [_keys(s) for s in _shuffles(plan)]
-    assert shuffles.count("doc_id, term") == 2
-    # only scores are shuffled by sentence; the text stays with its document
-    assert shuffles.count("doc_id, s_ix") == 1
+    shuffles = [_keys(s) for s in _shuffles(_plan(spark, name, sf_small))]
+    assert not [s for s in shuffles if "term" in s.split(", ") and s != "term"]
+    assert not [s for s in shuffles if "s_ix" in s or "chunk_ix" in s]
+
+
+def test_sentence_means_against_brute_force(spark):
+    import random
+
+    import pyarrow as pa
+
+    from tidings.operators.extractive import _means
+    rng = random.Random(3)
+    words = ["a", "bb", "ccc", "dddd", "", "\u00e9\u00e9\u00e9"]
+    docs = [[[[rng.choice(words) for _ in range(rng.randrange(5))] for _ in range(rng.randrange(4))]
+             for _ in range(rng.randrange(3))] for _ in range(60)]
+    weights = [[{"term": t, "score": rng.random()} for t in rng.sample(words, rng.randrange(5))] for _ in docs]
+    got = _means(pa.array(docs, pa.list_(pa.list_(pa.list_(pa.string())))),
+                 pa.array(weights, pa.list_(pa.struct([("term", pa.string()), ("score", pa.float64())])))).to_pylist()
+    for units, ws, means in zip(docs, weights, got):
+        known = {w["term"]: w["score"] for w in ws}
+        want = [[sum(x) / max(1, len(x)) for s in u for x in [[known[t] for t in s if t in known]]] for u in units]
+        assert [[pytest.approx(m) for m in u] for u in want] == means

@@ -22,12 +22,15 @@ aggregations with map-side partial aggregation; the tf x df join is on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidings.functions.chunk import explode_chunks
 from tidings.functions.text import (TERM_MIN_LEN, TERM_SPLIT_RE, col_, html_escape,
                                     py_strip, sentences)
+from tidings.session import ship_package
 
 # --- fixed values -----------------------------------------------------------
 TOP_KEYWORDS = 5
@@ -103,73 +106,129 @@ def keywords(weights: DataFrame, key: str = "doc_id",
                    .select(key, "kw_rank", "term", "score"))
 
 
-def keyword_line(kw: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keywords listed horizontally: (key, keywords)."""
-    return kw.groupBy(key).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("kw_rank", "term"))),
-        lambda s: s["term"]), KEYWORD_SEP).alias("keywords"))
+def weight_arrays(weights: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, weights): each document's terms and scores as one array of structs, no longer than its text."""
+    return weights.groupBy(key).agg(F.collect_list(F.struct("term", "score")).alias("weights"))
 
 
-def sentence_units(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys..., s_ix, sentence) for every sentence of ``text``."""
-    return (df.select(*keys, F.posexplode_outer(sentences(text))
-                      .alias("s_ix", "sentence"))
-              .where(F.col("sentence").isNotNull()))
+def keyword_line(weights="weights", k: int = TOP_KEYWORDS) -> Column:
+    """The top ``k`` terms of a `weight_arrays` column listed horizontally, ties by term; NULL without terms."""
+    best = F.slice(F.sort_array(F.transform(col_(weights), lambda w: F.struct((-w["score"]).alias("s"), w["term"]))), 1, k)
+    return F.nullif(F.array_join(F.transform(best, lambda w: w["term"]), KEYWORD_SEP), F.lit(""))
 
 
-def best_sentences(units: DataFrame, weights: DataFrame, keys: list[str],
-                   k: int, key: str = "doc_id") -> DataFrame:
-    """(keys..., picks): the indexes of the best ``k`` sentences of each ``keys`` group.
+def sentence_runs(text) -> Column:
+    """Each sentence's letter runs, lower-cased."""
+    return F.transform(sentences(text), lambda s: F.split(F.lower(s), TERM_SPLIT_RE))
 
-    A sentence scores the mean weight of its term occurrences, weights looked
-    up by (key, term); a sentence without terms scores 0. Ties go to the
-    earlier sentence. Only indexes come out: the text stays with its document.
-    """
-    runs = F.explode_outer(F.split(F.lower("sentence"), TERM_SPLIT_RE))
-    occ = (units.select(*keys, "s_ix", runs.alias("run"))
-                .select(*keys, "s_ix", F.when(F.length("run") >= TERM_MIN_LEN,
-                                             F.col("run")).alias("term")))
-    scored = (occ.join(weights.select(key, "term", "score"), on=[key, "term"],
-                       how="left")
-                 .groupBy(*keys, "s_ix")
-                 .agg(F.round(F.coalesce(F.avg("score"), F.lit(0.0)),
-                              SCORE_DIGITS).alias("s_score")))
-    w = Window.partitionBy(*keys).orderBy(F.col("s_score").desc(), F.col("s_ix"))
-    return (scored.withColumn("s_rank", F.row_number().over(w))
-                  .where(F.col("s_rank") <= k)
-                  .groupBy(*keys).agg(F.collect_list("s_ix").alias("picks")))
+
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.r_[0, np.cumsum(sizes)], pa.int32())
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
+def _means(units: pa.Array, weights: pa.Array) -> pa.Array:
+    """Per document and unit the mean weight of each sentence's terms (0 without any): terms are numbered
+    once for the batch, and occurrences meet weights by (document, number) in sorted arrays."""
+    unit, weight = units.flatten(), weights.flatten()
+    sentence = unit.flatten()
+    run = sentence.flatten()
+    n_units, n_sentences, n_runs = _sizes(units), _sizes(unit), _sizes(sentence)
+    doc = np.arange(len(units))
+    doc_of_run = np.repeat(np.repeat(np.repeat(doc, n_units), n_sentences), n_runs)
+    sentence_of_run = np.repeat(np.arange(len(sentence)), n_runs)
+    term = pa.concat_arrays([pc.struct_field(weight, "term"), run]).dictionary_encode()
+    number, many = term.indices.to_numpy(zero_copy_only=False), max(1, len(term.dictionary))
+    known = np.repeat(doc, _sizes(weights)) * many + number[:len(weight)]
+    order = np.argsort(known)
+    known, score = known[order], pc.struct_field(weight, "score").to_numpy(zero_copy_only=False)[order]
+    asked = doc_of_run * many + number[len(weight):]
+    at = np.searchsorted(known, asked)
+    hit = np.flatnonzero(np.r_[known, -1][at] == asked)
+    sums = np.bincount(sentence_of_run[hit], score[at[hit]], len(sentence))
+    count = np.bincount(sentence_of_run[hit], minlength=len(sentence))
+    means = pa.ListArray.from_arrays(_offsets(n_sentences), pa.array(sums / np.maximum(count, 1)))
+    return pa.ListArray.from_arrays(_offsets(n_units), means)
+
+
+def sentence_means(units: Column, weights="weights") -> Column:
+    """For each unit (an array of `sentence_runs`) the mean weight of each sentence's term occurrences.
+
+    One Arrow step beside the document: neither occurrences nor weights leave its row."""
+    def means(units: pa.Array, weights: pa.Array) -> pa.Array:
+        return _means(units, weights)
+
+    ship_package(SparkSession.active())
+    # types given as objects, since annotations are text in this module
+    means.__annotations__ = {"units": pa.Array, "weights": pa.Array, "return": pa.Array}
+    return F.arrow_udf(means, "array<array<double>>")(units, F.coalesce(col_(weights), F.array().cast("array<struct<term:string,score:double>>")))
+
+
+def best_sentences(means: Column, k: int) -> Column:
+    """The indexes of the best ``k`` sentences by mean weight; ties go to the earlier sentence."""
+    order = F.sort_array(F.transform(means, lambda m, i: F.struct((-F.round(m, SCORE_DIGITS)).alias("s"), i.alias("i"))))
+    return F.transform(F.slice(order, 1, k), lambda p: p["i"])
 
 
 def _picked(text: Column, picks: Column) -> Column:
-    """The picked sentences of ``text`` in text order, joined by single spaces."""
-    return F.array_join(F.filter(sentences(text), lambda s, i: F.array_contains(picks, i)), " ")
+    """The picked sentences of ``text`` in text order, joined by single spaces; NULL without any.
+    ``picks`` is a column of its own: an expression would be computed again for each sentence."""
+    return F.when(F.size(picks) > 0, F.array_join(F.filter(sentences(text), lambda s, i: F.array_contains(picks, i)), " "))
+
+
+def _picked_windows(chunks: Column, picks: Column) -> Column:
+    """Each window's picked sentences (NULL where it has none), in window order."""
+    return F.transform(F.arrays_zip(chunks.alias("c"), picks.alias("p")), lambda w: _picked(w["c"]["chunk"], w["p"]))
 
 
 def top_sentences(docs: DataFrame, weights: DataFrame, k: int, key: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """(key, picked), the best ``k`` sentences of each text.
+    """(key, picked), the best ``k`` sentences of each text, NULL where it has none.
 
-    The indexes join back on ``key``, so documents that are partitioned by it
+    A sentence scores the mean weight of its term occurrences; a sentence without terms scores 0.
+    Weights come to the documents as one array each, so documents that are partitioned by ``key``
     stay where they are."""
-    units = sentence_units(docs, [key], text)
-    best = best_sentences(units, weights, [key], k, key)
-    return docs.select(key, text).join(best, key).select(
-        key, _picked(F.col(text), F.col("picks")).alias("picked"))
+    d = docs.select(key, text).join(weight_arrays(weights, key), key, "left")
+    d = d.withColumn("means", sentence_means(F.array(sentence_runs(text))))
+    d = d.withColumn("picks", best_sentences(F.get("means", F.lit(0)), k))
+    return d.select(key, _picked(F.col(text), F.col("picks")).alias("picked"))
 
 
 def top_window_sentences(docs: DataFrame, weights: DataFrame, k: int,
                          key: str = "doc_id") -> DataFrame:
     """(key, detailed, n_windows), the best ``k`` sentences of each window of the
-    ``chunks`` column, in window order."""
-    ch = explode_chunks(docs, [key]).select(key, "chunk_ix", "chunk")
-    units = sentence_units(ch, [key, "chunk_ix"], "chunk")
-    best = (best_sentences(units, weights, [key, "chunk_ix"], k, key).groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("chunk_ix", "picks"))).alias("windows")))
-    window = F.transform("windows", lambda w: _picked(
-        F.get("chunks", w["chunk_ix"].cast("int"))["chunk"], w["picks"]))
-    return docs.select(key, "chunks").join(best, key).select(
-        key, F.array_join(window, " ").alias("detailed"),
-        F.size("windows").cast("bigint").alias("n_windows"))
+    ``chunks`` column, in window order; NULL where no window has a sentence."""
+    d = docs.select(key, "chunks").join(weight_arrays(weights, key), key, "left")
+    d = d.withColumn("means", sentence_means(F.transform("chunks", lambda c: sentence_runs(c["chunk"]))))
+    d = d.withColumn("picks", F.transform("means", lambda m: best_sentences(m, k)))
+    d = d.withColumn("windows", F.filter(_picked_windows(F.col("chunks"), F.col("picks")), lambda w: w.isNotNull()))
+    some = F.size("windows") > 0
+    return d.select(key, F.when(some, F.array_join("windows", " ")).alias("detailed"),
+                    F.when(some, F.size("windows")).cast("bigint").alias("n_windows"))
+
+
+def sections(docs: DataFrame, weights: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` (with ``chunks``) and the columns ``picked``, ``keywords`` and ``detailed``, all from one
+    join with the weights.
+
+    A text that fits in one window is that window verbatim, so its detailed pick is its executive pick
+    when both take the same number of sentences: only texts of several windows have their windows scored."""
+    reuse = DETAIL_SENTENCES == EXEC_SENTENCES
+    windows = F.when(F.size("chunks") > (1 if reuse else 0), F.col("chunks")).otherwise(F.slice("chunks", 1, 0))
+    d = docs.join(weight_arrays(weights, key), key, "left").withColumn("_windows", windows)
+    units = F.concat(F.array(sentence_runs(text)), F.transform(
+        F.coalesce("_windows", F.slice("chunks", 1, 0)), lambda c: sentence_runs(c["chunk"])))
+    # without windows there is no unit beside the text
+    d = d.withColumn("means", sentence_means(F.coalesce(units, F.array(sentence_runs(text)))))
+    d = d.withColumns({"_picks": best_sentences(F.get("means", F.lit(0)), EXEC_SENTENCES),
+                       "_window_picks": F.transform(F.slice("means", 2, 1 << 30), lambda m: best_sentences(m, DETAIL_SENTENCES))})
+    several = F.array_join(_picked_windows(F.col("_windows"), F.col("_window_picks")), " ")
+    d = d.withColumn("picked", _picked(F.col(text), F.col("_picks"))).withColumn("keywords", keyword_line())
+    detailed = F.when(F.size("chunks") == 1, F.col("picked")).otherwise(several) if reuse else several
+    return d.withColumn("detailed", detailed).drop("weights", "means", "_windows", "_picks", "_window_picks")
 
 
 def has_digest(text) -> Column:

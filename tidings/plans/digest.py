@@ -107,25 +107,10 @@ def extractive_summaries(staged: DataFrame, key: str = "msg_uid") -> DataFrame:
     or windows need no filter: they yield no terms, sentences or windows.
     (A filter here would be pushed below the staging projections with the
     body and window expressions inlined into it.)"""
-    ok = staged
-    d = ok.select(key, F.col("body").alias("text"))
-    w = X.term_weights(d, key)
-    kw = X.keyword_line(X.keywords(w, key), key)
-    ex = X.top_sentences(d, w, X.EXEC_SENTENCES, key)
-    # A body that fits in one window is that window verbatim, so its
-    # detailed pick is its executive pick when both take the same number of
-    # sentences: only multi-window bodies go through the window pass.
-    reuse = X.DETAIL_SENTENCES == X.EXEC_SENTENCES
-    multi = ok.where(F.col("n_chunks") > 1) if reuse else ok
-    det = X.top_window_sentences(multi, w, X.DETAIL_SENTENCES, key)
-    sec = (ok.select(key, "n_chunks", X.title_of("body").alias("title"),
-                     X.date_of("body").alias("article_date"))
-           .join(ex, key, "left").join(kw, key, "left").join(det, key, "left"))
-    detailed = (F.when(F.col("n_chunks") == 1, F.col("picked")).otherwise(F.col("detailed"))
-                if reuse else F.col("detailed"))
-    return sec.select(key, X.digest_html("title", "article_date", "picked",
-                                         "keywords", detailed).alias("summary"),
-                      F.lit(None).cast("string").alias("error_kind"))
+    d = staged.select(key, F.col("body").alias("text"), "chunks")
+    sec = X.sections(d, X.term_weights(d, key), key)
+    return sec.select(key, X.digest_html(X.title_of("text"), X.date_of("text"), "picked", "keywords", "detailed")
+                      .alias("summary"), F.lit(None).cast("string").alias("error_kind"))
 
 
 def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig,

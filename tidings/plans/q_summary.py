@@ -150,9 +150,7 @@ SELECT d.doc_id, pk.picked AS exec_summary FROM documents d LEFT JOIN pk ON d.do
 def q_executive_summary(spark, sf_dir):
     d, n = _docs_by_id(spark, sf_dir)
     w = X.term_weights(d, n_docs=n)
-    picked = X.top_sentences(d, w, X.EXEC_SENTENCES)
-    return d.select("doc_id").join(picked, "doc_id", "left").select(
-        "doc_id", F.col("picked").alias("exec_summary"))
+    return X.top_sentences(d, w, X.EXEC_SENTENCES).withColumnRenamed("picked", "exec_summary")
 
 
 def detailed(d, w, m=WIN_M, o=WIN_O):
@@ -172,4 +170,4 @@ SELECT d.doc_id, dd.detailed, dd.n_windows FROM documents d LEFT JOIN dd ON d.do
 def q_detailed_summary(spark, sf_dir):
     d, n = _docs_by_id(spark, sf_dir)
     w = X.term_weights(d, n_docs=n)
-    return d.select("doc_id").join(detailed(d, w), "doc_id", "left")
+    return detailed(d, w)
