@@ -42,6 +42,12 @@ TITLE_RE = "(?i)<title>([^<]*)</title>"
 DATE_RE = ("[0-9]{4}-[0-9]{2}-[0-9]{2}|"
            "(January|February|March|April|May|June|July|August|September|"
            "October|November|December) [0-9]{1,2}, [0-9]{4}")
+# Written forms of a date, in groups (year, month, day) or (month name, day, year) or (day, month name, year).
+MONTHS = ("Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|"
+          "Sep(?:t(?:ember)?)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?")
+DATE_FORMS = ("([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})",
+              f"({MONTHS})[.]? ([0-9]{{1,2}})(?:st|nd|rd|th)?,? ([0-9]{{4}})",
+              f"([0-9]{{1,2}})(?:st|nd|rd|th)?[.]? ({MONTHS})[.]?,? ([0-9]{{4}})")
 SECTION_TITLES = ("Executive Summary", "Keywords",
                   "Detailed Analysis and Contextual Summary")
 # ---------------------------------------------------------------------------
@@ -61,6 +67,29 @@ def date_of(text) -> Column:
     return F.nullif(F.regexp_extract(col_(text), DATE_RE, 0), F.lit(""))
 
 
+def written_date(text) -> Column:
+    """X1 date as a DATE: the first date in ``text``, in any of `DATE_FORMS`, that the calendar has;
+    an impossible one (30 February) is passed over. NULL when there is none."""
+    # no digit or letter may touch a date, nor may it be part of a longer chain of numbers
+    every = "(?i)(?<![\\p{L}0-9./-])(?:" + "|".join(DATE_FORMS).replace("(", "(?:").replace("(?:?:", "(?:") + ")(?![\\p{L}0-9]|[./-][0-9])"
+
+    def parsed(found):
+        def part(form, group):
+            return F.regexp_extract(found, f"(?i){form}", group)
+
+        def month(name):
+            return F.concat(F.initcap(F.substring(F.lower(name), 1, 3)))
+        year_first, month_first, day_first = DATE_FORMS
+        return (F.when(F.regexp_like(found, F.lit("^[0-9]{4}")), F.try_to_date(
+                    F.concat_ws("-", *(part(year_first, g) for g in (1, 2, 3))), "yyyy-M-d"))
+                .when(F.regexp_like(found, F.lit("^[0-9]")), F.try_to_date(F.concat_ws(
+                    " ", part(day_first, 1), month(part(day_first, 2)), part(day_first, 3)), "d MMM yyyy"))
+                .otherwise(F.try_to_date(F.concat_ws(
+                    " ", part(month_first, 2), month(part(month_first, 1)), part(month_first, 3)), "d MMM yyyy")))
+    dates = F.transform(F.regexp_extract_all(col_(text), F.lit(every), F.lit(0)), parsed)
+    return F.get(F.filter(dates, lambda d: d.isNotNull()), F.lit(0))
+
+
 def doc_terms(docs: DataFrame, key: str = "doc_id",
               text: str = "text") -> DataFrame:
     """(key, term): one row per term occurrence.

@@ -71,10 +71,19 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n_messages"))
 
 
+# Percentiles are exact in groups of up to this many rows, and within 1/ACCURACY of the rank beyond.
+ACCURACY = 100_000
+
+
+def percentiles(value: str, name: str, accuracy: int = ACCURACY) -> list[Column]:
+    """Median and 95th percentile (values that occur) by a quantile sketch: partial sketches
+    are merged, so no task keeps a group's values."""
+    return [F.percentile_approx(value, q, accuracy).cast("bigint").alias(f"p{round(100 * q)}_{name}") for q in (0.5, 0.95)]
+
+
 def size_stats(outcomes: DataFrame, by: str = "sender") -> DataFrame:
     """O3: size measures per sender. All are mergeable partial aggregates,
-    so a sender with a third of all messages is combined map-side; exact
-    percentiles are left out because they keep every value of a group."""
+    so a sender with a third of all messages is combined map-side."""
     return outcomes.groupBy(by).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_messages"),
         F.min("n_chars").cast("bigint").alias("min_chars"),
@@ -82,4 +91,14 @@ def size_stats(outcomes: DataFrame, by: str = "sender") -> DataFrame:
         F.sum("n_chars").cast("bigint").alias("sum_chars"),
         F.round(F.avg("n_chars"), 3).alias("avg_chars"),
         F.sum("n_chunks").cast("bigint").alias("sum_chunks"),
-        F.max("n_tokens").cast("bigint").alias("max_tokens"))
+        F.max("n_tokens").cast("bigint").alias("max_tokens"),
+        *percentiles("n_chars", "chars"), *percentiles("n_tokens", "tokens"), *percentiles("n_chunks", "chunks"))
+
+
+def summary_stats(outcomes: DataFrame, by: str = "sender") -> DataFrame:
+    """O3: lengths of the summaries that were made, per sender; ``outcomes`` has ``summary_chars``."""
+    return outcomes.where(F.col("summary_chars") > 0).groupBy(by).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_summaries"),
+        F.min("summary_chars").cast("bigint").alias("min_chars"),
+        F.max("summary_chars").cast("bigint").alias("max_chars"),
+        F.round(F.avg("summary_chars"), 3).alias("avg_chars"), *percentiles("summary_chars", "chars"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidings.functions.chunk import chunk_text
 from tidings.functions.text import SENTENCE_RE
 from tidings.operators.model import Kept, LeadSentence, SummarizerError, model_fold
-from tidings.operators.outcomes import confirm_sends, outcome_counts, size_stats
+from tidings.operators.outcomes import confirm_sends, outcome_counts, size_stats, summary_stats
 from tidings.operators.render import (ATTACH_FAILED, DEFAULT_MODEL, ORIGINAL_SEPARATOR,
                                       SUBJECT_DEFAULT, SUBJECT_PREFIX,
                                       elements_text, info_header, inject_header,
@@ -64,6 +64,10 @@ oc AS (SELECT msg_uid, sender,
        FROM tk)"""
 
 
+def _sql_percentiles(value, name):
+    return ", ".join(f"CAST(quantile_disc({value}, {q}) AS BIGINT) AS p{round(100 * q)}_{name}" for q in (0.5, 0.95))
+
+
 @query("outcomes", f"""{SQL_STAGE}
 SELECT msg_uid, sender, status, n_chars, n_tokens, n_chunks FROM oc
 """)
@@ -83,7 +87,9 @@ SELECT sender, CAST(count(*) AS BIGINT) AS n_messages,
        CAST(min(n_chars) AS BIGINT) AS min_chars, CAST(max(n_chars) AS BIGINT) AS max_chars,
        CAST(sum(n_chars) AS BIGINT) AS sum_chars, round(avg(n_chars), 3) AS avg_chars,
        CAST(sum(n_chunks) AS BIGINT) AS sum_chunks,
-       CAST(max(n_tokens) AS BIGINT) AS max_tokens
+       CAST(max(n_tokens) AS BIGINT) AS max_tokens,
+       {_sql_percentiles('n_chars', 'chars')}, {_sql_percentiles('n_tokens', 'tokens')},
+       {_sql_percentiles('n_chunks', 'chunks')}
 FROM oc GROUP BY sender
 """)
 def q_size_stats(spark, sf_dir):
@@ -217,6 +223,18 @@ def q_digest_outbox(spark, sf_dir):
                      elements_text("original").alias("original"))
 
 
+@query("summary_size_stats", _sql_digest().partition(",\nhd AS (")[0] + f"""
+SELECT u.sender, CAST(count(*) AS BIGINT) AS n_summaries, CAST(min(length(summary)) AS BIGINT) AS min_chars,
+       CAST(max(length(summary)) AS BIGINT) AS max_chars, round(avg(length(summary)), 3) AS avg_chars,
+       {_sql_percentiles('length(summary)', 'chars')}
+FROM sm JOIN u ON sm.doc_id = u.msg_uid WHERE summary <> '' GROUP BY u.sender
+""")
+def q_summary_size_stats(spark, sf_dir):
+    """Lengths of the run's summaries, per sender."""
+    _, oc = _run(spark, sf_dir)
+    return summary_stats(oc)
+
+
 @query("raw_run_outbox", _sql_digest())
 def q_raw_run_outbox(spark, sf_dir):
     """The run on raw mail: choose, parse, summarize, render."""

@@ -71,3 +71,33 @@ def q_mail_files_poll(spark, sf_dir):
                  os.path.join(base, "checkpoint"), CFG, initial_ledger=_ledger(spark, sf_dir),
                  to_messages=mbox_messages, plan=run_raw)
     return store.table("outcomes").select(_id(), "sender", "status", "n_chars", "n_tokens", "n_chunks")
+
+
+# Deliveries of the query below: in the first poll a message labelled toxic is refused, and those with an odd id again
+# in the second, which has no new file and so tries the undelivered messages alone.
+@query("poll_attempts", f"""
+WITH m AS (SELECT d.doc_id AS msg_uid, coalesce({sql_strip('d.text')}, '') <> '' AS body,
+             EXISTS (SELECT 1 FROM labels l WHERE l.toxic = 1 AND l.doc_id = d.doc_id) AS refused
+           FROM documents d
+           WHERE contains(lower(d.source), lower('{SENDER}'))
+             AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.quality = 1 AND l.doc_id = d.doc_id))
+SELECT msg_uid, CASE WHEN NOT body THEN 'no_body' WHEN refused AND msg_uid % 2 = 1 THEN 'send_failed' ELSE 'sent' END AS status,
+       CAST(CASE WHEN body AND NOT refused THEN 1 ELSE 2 END AS INTEGER) AS attempts FROM m
+""")
+def q_poll_attempts(spark, sf_dir):
+    """Two polls whose deliveries are refused in part: each message's last outcome and how many runs tried it."""
+    base = scratch_path(spark, "poll", uuid.uuid4().hex)
+    toxic = T.table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("msg_uid")).distinct()
+
+    def refusing(which):
+        def deliver(outbox):
+            no = toxic.where(which).withColumn("refused", F.lit(True))
+            return outbox.select("msg_uid").join(no, "msg_uid", "left").select(
+                "msg_uid", F.col("refused").isNull().alias("delivered"), F.lit(None).cast("string").alias("send_error"))
+        return deliver
+
+    for which in ("true", "msg_uid % 2 = 1"):
+        store = poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
+                     glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir), deliver=refusing(which))
+    return (store.table("outcomes").groupBy("msg_uid")
+            .agg(F.max_by("status", "attempts").alias("status"), F.max("attempts").alias("attempts")))

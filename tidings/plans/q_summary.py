@@ -78,6 +78,28 @@ def q_title_and_date(spark, sf_dir):
         X.date_of("html").alias("article_date"))
 
 
+# Dates written into the bodies of the query below, by page_id % 6: three forms of a day of 2024, an ISO date, an impossible
+# date before a possible one, an impossible date alone. The day is page_id % 28 + 1, the month page_id % 12 + 1.
+SQL_DATE = "make_date(2024, CAST(page_id % 12 + 1 AS INTEGER), CAST(page_id % 28 + 1 AS INTEGER))"
+
+
+@query("article_date", f"""
+SELECT page_id, CASE WHEN page_id % 6 = 5 THEN NULL ELSE {SQL_DATE} END AS article_date FROM pages
+""")
+def q_article_date(spark, sf_dir):
+    """Dates of several written forms, normalised; impossible ones are passed over."""
+    day = F.make_date(F.lit(2024), (F.col("page_id") % 12 + 1).cast("int"), (F.col("page_id") % 28 + 1).cast("int"))
+    form = F.col("page_id") % 6
+    stamp = (F.when(form == 0, F.date_format(day, "yyyy-MM-dd")).when(form == 1, F.date_format(day, "MMMM d, yyyy"))
+             .when(form == 2, F.concat(F.date_format(day, "d"), F.lit("th "), F.date_format(day, "MMM yyyy")))
+             .when(form == 3, F.concat(F.upper(F.date_format(day, "MMM")), F.date_format(day, ". d yyyy")))
+             .when(form == 4, F.concat(F.lit("February 30, 2024, then "), F.date_format(day, "yyyy/M/d")))
+             .otherwise(F.lit("2023-02-29 and 31 June 2024")))
+    body = F.concat(F.lit("<p>Issue of "), stamp, F.lit(". No. 12345-2024-01-01-7.</p>"), F.col("html"))
+    return T.pages(spark, sf_dir).select("page_id", body.alias("body")).select(
+        "page_id", X.written_date("body").alias("article_date"))
+
+
 def sql_terms(x: str) -> str:
     return (f"list_filter(string_split_regex(lower({x}), '{TERM_SPLIT_RE}'), "
             f"lambda t: length(t) >= {TERM_MIN_LEN})")
