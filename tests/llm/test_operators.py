@@ -13,7 +13,7 @@ from tidings.llm import (common, exact_dedup, fingerprints, licenses, mixing, pa
                          queries, secrets, simhash, toxicity, urls)
 from tidings.sources.tables import table
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, `row` string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, `row` string, `a.b` string"
 CRC = secrets.base62(zlib.crc32(b"a1B2c3D4e5" * 3), 6)
 ODD = [
     (None, None, None, None, None, 0.5, "x"),
@@ -35,6 +35,9 @@ ODD = [
 ]
 
 
+ODD = [(*r, "dot") for r in ODD]
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     return spark.createDataFrame(ODD, SCHEMA).repartition(3).cache()
@@ -97,6 +100,38 @@ def test_secrets_random_texts():
         assert got == brute.secret_spans(text), text
 
 
+def test_secrets_of_long_texts_take_linear_time():
+    import time
+    found, start = secrets.automaton(), time.time()
+    for text in ("eyJ" * 1_500_000, "eyJa." * 900_000, "x" * 5_000_000, "token " * 800_000, "token" + " " * 4_000_000,
+                 "-----BEGIN " + "A " * 2_000_000, "password=" * 500_000):
+        secrets.spans_of(text, found)
+    assert time.time() - start < 60
+
+
+def test_jwt_places_against_a_plain_scan():
+    import re
+    rng, found = random.Random(4), secrets.automaton()
+    head = "eyJhbGciOiJub25lIn0"
+    bits = ["eyJ", "EYJ", "eyj", "a", ".", "..", " ", head, f"{head}.eyJh", "-", "_x"]
+    for _ in range(4000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(16)))
+        want = [(m.start(), m.end()) for m in re.finditer(secrets.JWT, text) if secrets.jwt_fits(m)]
+        assert [(a, b) for a, b, k in secrets.spans_of(text, found) if k == "jwt"] == want, text
+
+
+def test_licenses_of_long_texts_take_linear_time():
+    import time
+    index, start = licenses.Index(), time.time()
+    idf = {w: 1.0 for w in index.vocabulary}
+    for text in ("mit license " * 400_000, "cc by " * 800_000, "x" * 5_000_000):
+        words = licenses.compact(text)
+        places = licenses.base_places(words, index)
+        assert len(places) == (len(words) // 2 if " " in text else 0)
+        licenses.matches(words, index, idf)
+    assert time.time() - start < 60
+
+
 def test_licenses_base(odd, texts, spark, sf_small):
     for docs, want in ((odd, [(r[0], text_of(r)) for r in ODD]),
                        (table(spark, sf_small, "documents"), list(texts.items()))):

@@ -19,6 +19,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever their names (a dot in one is part of it)."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def whole_text(name: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import cut, whole_text
+from tidings.llm.common import cut, whole_row, whole_text
 
 BLOCK_BITS = 32768          # what bitmap_construct_agg holds
 HASHES = 3
@@ -63,7 +63,7 @@ def mark_suspects(docs: DataFrame, text: str = "text") -> DataFrame:
     if blocks * BLOCK_BITS // 8 <= BROADCAST_BYTES:
         found = F.broadcast(found)
     block, bits = _places(whole_text(text), blocks)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    rows = docs.select(whole_row(docs).alias("row"),
                        block.alias("own_block"), bits.alias("own"))
     every = [_bit_set(F.col("bits"), F.col("own")[i]) for i in range(HASHES)]
     suspect = F.coalesce(F.col("bits").isNotNull() & every[0] & every[1] & every[2], F.lit(False))

@@ -89,7 +89,6 @@ class Index:
         self.templates = [(label, compact(t), [compact(k) for k in keys]) for label, t, keys in TEMPLATES]
         self.vocabulary = frozenset(w for _, words, _ in self.templates for w in words)
         self.phrases = [(_flat(compact(p)), label) for p, label in PHRASES]
-        self.keys = [[_flat(k) for k in keys] for _, _, keys in self.templates]
         self._rare: tuple[dict | None, dict] = (None, {})
 
     def rare_postings(self, idf: dict[bytes, float]) -> dict[bytes, list[tuple[int, int]]]:
@@ -118,21 +117,19 @@ def base_places(words: list[bytes], index: Index) -> list[tuple[int, str]]:
     """(first word, label) of every place of a base phrase."""
     flat, out = _flat(words), []
     for phrase, label in index.phrases:
-        at = flat.find(phrase)
+        at, word, counted = flat.find(phrase), 0, 0
         while at >= 0:
-            out.append((flat.count(b" ", 0, at), label))
+            # words are counted on from the last place
+            word, counted = word + flat.count(b" ", counted, at), at
+            out.append((word, label))
             at = flat.find(phrase, at + 1)
     return out
 
 
 def matches(words: list[bytes], index: Index, idf: dict[bytes, float]) -> dict[str, float]:
-    """label -> best share of a template's words found in place."""
-    flat = _flat(words)
-    wanted = {t for t, keys in enumerate(index.keys) if all(k in flat for k in keys)}
-    if not wanted:
-        return {}
-    rare = {w: mine for w, places in index.rare_postings(idf).items()
-            if (mine := [(t, place) for t, place in places if t in wanted])}
+    """label -> best share of a template's words found in place. The postings of the rare words
+    that the file has give the alignments; only a full enough one is asked for its key phrases."""
+    rare = index.rare_postings(idf)
     votes = {(t, at - place) for at, w in enumerate(words) if w in rare for t, place in rare[w]}
     best: dict[str, float] = {}
     for t, shift in votes:

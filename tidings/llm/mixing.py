@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidings.llm.common import cut, whole_text
+from tidings.llm.common import cut, whole_row, whole_text
 
 SWEEPS = 6               # at least
 TOLERANCE = 1e-3         # largest relative error of a marginal when raking ends
@@ -221,7 +221,7 @@ def mix(docs: DataFrame, weights: dict[str, dict] | None = None, keep: float = K
 
 def sample(docs: DataFrame, weights: dict[str, dict] | None = None, keep: float = KEEP) -> DataFrame:
     """The rows of ``docs``, all columns, that the mix draws."""
-    rows = described(docs, F.struct(*[docs[c] for c in docs.columns]))
+    rows = described(docs, whole_row(docs))
     return (_with_probability(rows, weights, keep)
             .where(uniform(F.col("doc_id")) < F.col("probability")).select("row.*"))
 

@@ -12,7 +12,7 @@ header that decodes to JSON with an ``alg``, ``pem`` its key type.
 
 Defined cases: null text counts as empty; a text without secrets has zero counts,
 empty ``spans`` and the SHA-256 of the empty string. Texts of any length are
-scanned whole. Repeated rows get equal results, null ids are carried
+scanned whole, in linear time. Spans of equal start stand in the order of the kinds. Repeated rows get equal results, null ids are carried
 along; other columns, whatever their names, are ignored. An empty table gives no rows.
 """
 
@@ -73,6 +73,10 @@ def jwt_fits(m: re.Match) -> bool:
     return isinstance(head, dict) and "alg" in head
 
 
+# A place of ``jwt`` that does not match: neither does any other up to the end of its characters, since the
+# first part of a token goes on to there from each of them. So every character is read a bounded number of times.
+JWT_RUN = re.compile(r"eyJ[A-Za-z0-9_-]*")
+
 # kind: (anchored expression, validation of a match)
 RULES = {
     "assign": (ASSIGN, lambda m: len(m[2]) >= 6),
@@ -109,10 +113,14 @@ def spans_of(text: str, found: ahocorasick.Automaton) -> list[tuple[int, int, st
         rule, valid = RULES[kind]
         free = 0
         for at in sorted(set(places)):
-            if at >= free and (m := rule.match(text, at)):
+            if at < free:
+                continue
+            if m := rule.match(text, at):
                 free = m.end()
                 if valid(m):
                     out.append((at, free, kind))
+            elif kind == "jwt" and (run := JWT_RUN.match(text, at)):
+                free = run.end()
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

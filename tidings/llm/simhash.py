@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidings.llm.common import cut, text_udf, whole_text
+from tidings.llm.common import cut, text_udf, whole_row, whole_text
 from tidings.session import ship_package
 
 WORDS = 4
@@ -269,7 +269,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
                 .where(F.col("stays").isNull() | (F.col("n") > 1))
                 .select(F.col("p.doc_id").alias("of_id"), F.col("p.text_key").alias("of_key"),
                         F.col("stays").isNotNull().alias("repeated")))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    rows = docs.select(whole_row(docs).alias("row"),
                        F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("key"))
     left = rows.join(other, same("id", "key", "of_id", "of_key"), "left_anti").select("row.*")
     repeated = other.where("repeated")
