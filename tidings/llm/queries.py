@@ -71,7 +71,7 @@ def op10_urls(spark, sf_dir):
 
 @query("op11_topk", topk.TOPK_SQL)
 def op11_topk(spark, sf_dir):
-    return topk.top_k(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
 
 
 @query("op12_fim", fim.FIM_SQL)
