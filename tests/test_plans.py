@@ -98,3 +98,11 @@ def test_sentence_means_against_brute_force(spark):
         known = {w["term"]: w["score"] for w in ws}
         want = [[sum(x) / max(1, len(x)) for s in u for x in [[known[t] for t in s if t in known]]] for u in units]
         assert [[pytest.approx(m) for m in u] for u in want] == means
+
+
+def test_sentences_of_texts_without_any(spark):
+    from tidings.operators.extractive import term_weights, top_sentences
+    for texts in ([None, "", "  ", "..."], ["1 2 3. 4!"], []):
+        d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = {r.doc_id: r.picked for r in top_sentences(d, term_weights(d), 2).collect()}
+        assert got == {i: "1 2 3. 4!" if t and "1" in t else None for i, t in enumerate(texts)}

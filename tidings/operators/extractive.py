@@ -169,11 +169,14 @@ def _means(units: pa.Array, weights: pa.Array) -> pa.Array:
     doc = np.arange(len(units))
     doc_of_run = np.repeat(np.repeat(np.repeat(doc, n_units), n_sentences), n_runs)
     sentence_of_run = np.repeat(np.arange(len(sentence)), n_runs)
-    term = pa.concat_arrays([pc.struct_field(weight, "term"), run]).dictionary_encode()
+    # an empty array may come without buffers, which Arrow does not concatenate
+    some = [x for x in (pc.struct_field(weight, "term") if len(weight) else [], run) if len(x)]
+    term = (pa.concat_arrays(some) if some else pa.array([], pa.string())).dictionary_encode()
     number, many = term.indices.to_numpy(zero_copy_only=False), max(1, len(term.dictionary))
     known = np.repeat(doc, _sizes(weights)) * many + number[:len(weight)]
     order = np.argsort(known)
-    known, score = known[order], pc.struct_field(weight, "score").to_numpy(zero_copy_only=False)[order]
+    score = pc.struct_field(weight, "score").to_numpy(zero_copy_only=False)[order] if len(weight) else np.empty(0)
+    known = known[order]
     asked = doc_of_run * many + number[len(weight):]
     at = np.searchsorted(known, asked)
     hit = np.flatnonzero(np.r_[known, -1][at] == asked)
