@@ -173,3 +173,46 @@ def merkle(rows):
                 node = _hash(*run[:at], node, *run[at + 1:])
             out.append((r[0], tree[0][i], tree[-1][0], root, proof, node, node == root))
     return out
+
+
+def url_verdicts(urls_known, order=4):
+    """{url: (score, verdict)} of {url: allow, block or None}: models of both halves cross-fit the threshold."""
+    def chars(u):
+        rest = u.split("://", 1)[1] if "://" in u else u
+        s = "\x02" * order + re.sub("[A-Z]", lambda m: m[0].lower(), rest) + "\x03"
+        return [s[i:i + order + 1] for i in range(len(s) - order)]
+
+    def model(kind, halves):
+        nexts = defaultdict(lambda: defaultdict(int))
+        for u, known in urls_known.items():
+            if known == kind and half(u) in halves:
+                for g in chars(u):
+                    for k in range(order + 1):
+                        nexts[k, g[order - k:order]][g[order]] += 1
+
+        def log_p(g):
+            p = 1 / 256
+            for k in range(order + 1):
+                seen = nexts.get((k, g[order - k:order]))
+                if seen:
+                    p = (seen.get(g[order], 0) + len(seen) * p) / (sum(seen.values()) + len(seen))
+            return math.log(p)
+        return log_p
+
+    def half(u):
+        return xxhash.xxh64_intdigest(u, 42) & 1
+
+    def score(u, halves):
+        allow, block = models[halves]
+        return sum(allow(g) - block(g) for g in chars(u)) / len(chars(u))
+
+    models = {h: (model("allow", h), model("block", h)) for h in ((0, 1), (0,), (1,))}
+    at = {}
+    for kind in ("allow", "block"):
+        xs = [score(u, (1 - half(u),)) for u, known in urls_known.items() if known == kind]
+        mean = sum(xs) / len(xs)
+        at[kind] = mean, math.sqrt(sum((x - mean) ** 2 for x in xs) / len(xs)) + 1e-9
+    (ma, sa), (mb, sb) = at["allow"], at["block"]
+    bound = (ma * sb + mb * sa) / (sa + sb)
+    return {u: (score(u, (0, 1)), known or ("allow" if score(u, (0, 1)) >= bound else "block"))
+            for u, known in urls_known.items()}

@@ -1,6 +1,7 @@
 """Operators of tidings.llm against brute force, on whole small tables and on odd rows."""
 
 import random
+import re
 import zlib
 
 import brute
@@ -437,6 +438,52 @@ def test_url_model_against_brute_force(spark):
         assert got[g] == pytest.approx(math.log(prob("allow", g)) - math.log(prob("block", g)))
 
 
+def test_url_verdicts_against_brute_force(spark):
+    known = {f"http://shop{i}.com/item/{i * 7}?q={i}": "allow" for i in range(25)}
+    known |= {f"https://casino{i}.net/es/bet{i}/WIN": "block" for i in range(25)}
+    known |= {f"http://shop{i}.org/item/{i}": None for i in range(10)}
+    known |= {(f"casino{i}.info/bet/win" if i % 2 else f"ftp://x{i}.casino.biz/es/"): None for i in range(10)}
+    known["http://long.org/" + "item/" * 4000] = None
+    rules = (("allow", "com", "/"), ("block", "net", "/es/"))
+    rows = [(i, u) for i, u in enumerate(known)] + [(1000, next(iter(known)))]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    want = brute.url_verdicts(known, urls.ORDER)
+    assert len(got) == len(rows)
+    of = dict(rows)
+    assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
+    for r in got:
+        score, verdict = want[of[r.page_id]]
+        assert r.score == pytest.approx(score, abs=1e-9)
+        assert r.verdict == verdict
+
+
+def test_dedup_shuffles_no_text(spark, sf_small, monkeypatch):
+    docs = table(spark, sf_small, "documents")
+    want = sorted(exact_dedup.copies(docs).collect())
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    probed = []
+    kept_cut = exact_dedup.cut
+    monkeypatch.setattr(exact_dedup, "cut", lambda df: probed.append(df) or kept_cut(df))
+    try:
+        assert sorted(exact_dedup.copies(docs).collect()) == want
+        moved = []
+
+        def walk(node):
+            if node.nodeName() == "Exchange":
+                moved.append(node.schema().simpleString())
+            if node.nodeName() == "AdaptiveSparkPlan":
+                walk(node.initialPlan())
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+        for df in probed:
+            walk(df._jdf.queryExecution().executedPlan())
+        assert len(moved) >= 3 and any("own_block" in m for m in moved)
+        assert not any(re.search(r"\btext:", m) for m in moved)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_mixing(odd, spark, sf_small):
     rows = mixing.mix(odd).collect()
     assert len(rows) == len(ODD) and all(0 <= r.probability <= 1 for r in rows)

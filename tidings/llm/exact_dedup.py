@@ -9,13 +9,15 @@ shuffled and grouped by SHA-256.
 
 The filter has ``BITS_PER_ROW`` bits a row, in blocks of 32768 bits (4 KB). Its size
 is known from the row count before it is built: up to ``BROADCAST_BYTES`` it
-is broadcast, beyond that the narrow rows are joined to their block.
+is broadcast, beyond that the rows are joined to their block. ``copies`` hashes
+each text in the scan, so that no shuffle carries a text either way; ``drop_copies``
+returns whole rows, which beyond the bound move once, to their block.
 Everything is DataFrame functions; a hot text is summed before each shuffle.
 
 Defined cases: a null text equals the empty text. The row with the largest
 doc_id of a group stays; null ids sort below all others, and among rows of
 equal text and equal id each is reported alike, while ``drop_copies`` leaves exactly
-one. Extra columns, whatever their names, are ignored by the report and
+one. A very long text is hashed whole where it is read. Extra columns, whatever their names, are ignored by the report and
 carried along by ``drop_copies``. An empty table gives no rows.
 """
 
@@ -56,14 +58,15 @@ def _bit_set(bitmap: Column, bit: Column) -> Column:
     return F.call_function("shiftright", value, bit % 8).bitwiseAND(F.lit(1)) == 1
 
 
-def mark_suspects(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(row, suspect): each row as a struct, and whether its text may occur twice."""
+def mark_suspects(docs: DataFrame, text: str = "text", row: Column | None = None) -> DataFrame:
+    """(row, suspect): each row as a struct (``row``, or all its columns), and whether its
+    text may occur twice."""
     blocks = max(1, -(-docs.count() * BITS_PER_ROW // BLOCK_BITS))
     found = repeated_filter(docs, blocks, text)
     if blocks * BLOCK_BITS // 8 <= BROADCAST_BYTES:
         found = F.broadcast(found)
     block, bits = _places(whole_text(text), blocks)
-    rows = docs.select(whole_row(docs).alias("row"),
+    rows = docs.select((whole_row(docs) if row is None else row).alias("row"),
                        block.alias("own_block"), bits.alias("own"))
     every = [_bit_set(F.col("bits"), F.col("own")[i]) for i in range(HASHES)]
     suspect = F.coalesce(F.col("bits").isNotNull() & every[0] & every[1] & every[2], F.lit(False))
@@ -73,9 +76,8 @@ def mark_suspects(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def copies(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    narrow = docs.select("doc_id", whole_text().alias("text"))
-    marked = cut(mark_suspects(narrow).select(
-        F.col("row.doc_id").alias("doc_id"), F.sha2("row.text", 256).alias("text_sha256"), "suspect"))
+    narrow = F.struct("doc_id", F.sha2(whole_text(), 256).alias("text_sha256"))
+    marked = cut(mark_suspects(docs.select("doc_id", "text"), row=narrow).select("row.*", "suspect"))
     alone = (marked.where(~F.col("suspect"))
              .select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
                      F.lit(True).alias("kept"), "text_sha256"))
