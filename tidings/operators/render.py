@@ -8,6 +8,8 @@
 * R5 with forwarding on, the outbox row carries the original's leaf parts in
   walk order after a separator element (each leaf once: a deliberate
   difference from attaching containers and leaves both);
+  Given the message's ``tree``, elements keep their headers and filename, attachments their bytes, and
+  a nested mail is one element with its bytes;
 * R6 a single-part original that cannot be decoded becomes an error text
   element.
 """
@@ -31,7 +33,8 @@ ATTACH_FAILED = "Could not fully process original message part. Error: "
 DEFAULT_MODEL = "gpt-4o"
 # ---------------------------------------------------------------------------
 
-ELEMENT_TYPE = "array<struct<content_type:string,text:string>>"
+ELEMENT_TYPE = ("array<struct<content_type:string,text:string,filename:string,"
+                "headers:array<struct<name:string,value:string>>,payload:binary>>")
 
 
 def info_header(model) -> Column:
@@ -60,25 +63,35 @@ def digest_subject(subject, prefix: str = SUBJECT_PREFIX) -> Column:
                       F.lit(SUBJECT_DEFAULT))
 
 
-def original_elements(parts="parts", multipart="is_multipart") -> Column:
-    """R5 + R6: separator, then the original's leaves in walk order."""
+def original_elements(parts="parts", multipart="is_multipart", tree=None) -> Column:
+    """R5 + R6: separator, then the original's leaves in walk order.
+
+    ``tree`` (of ``parse_mime(.., tree=True)``) has a node for each part, in the same order."""
     parts = col_(parts)
     multi = F.coalesce(col_(multipart), F.lit(False))
-    leaves = F.filter(parts, lambda p: ~F.startswith(
-        F.coalesce(p["content_type"], F.lit("")), F.lit("multipart/")))
 
-    def element(p):
+    def element(p, node=None):
         failed = (~multi) & F.startswith(p["content_type"], F.lit("text/")) & \
                  ~F.coalesce(p["decode_ok"], F.lit(False))
-        return F.when(failed, F.struct(
-            F.lit("text/plain").alias("content_type"),
-            F.concat(F.lit(ATTACH_FAILED), F.lit("unknown encoding: "),
-                     F.coalesce(p["charset"], F.lit("utf-8"))).alias("text")))\
-            .otherwise(F.struct(p["content_type"].alias("content_type"),
-                                p["text"].alias("text")))
-    sep = F.array(F.struct(F.lit("text/html").alias("content_type"),
-                           F.lit(ORIGINAL_SEPARATOR).alias("text")))
-    return F.concat(sep, F.transform(leaves, element)).cast(ELEMENT_TYPE)
+        error = F.concat(F.lit(ATTACH_FAILED), F.lit("unknown encoding: "),
+                         F.coalesce(p["charset"], F.lit("utf-8")))
+        kept = [F.lit(None) if node is None else node[n] for n in ("filename", "headers", "payload")]
+        return F.struct(
+            F.when(failed, F.lit("text/plain")).otherwise(p["content_type"]).alias("content_type"),
+            F.when(failed, error).otherwise(p["text"]).alias("text"),
+            *[x.alias(n) for n, x in zip(("filename", "headers", "payload"), kept)])
+
+    if tree is None:
+        leaves = F.transform(F.filter(parts, lambda p: ~F.startswith(
+            F.coalesce(p["content_type"], F.lit("")), F.lit("multipart/"))), lambda p: element(p))
+    else:
+        # a multipart part in which no boundary was found is a leaf with its bytes
+        shown = F.filter(col_(tree), lambda n: n["mail_ix"].isNull() & (n["payload"].isNotNull() | ~F.startswith(
+            F.coalesce(n["content_type"], F.lit("")), F.lit("multipart/"))))
+        leaves = F.transform(shown, lambda n: element(F.get(parts, n["part_ix"]), n))
+    sep = F.array(F.struct(F.lit("text/html").alias("content_type"), F.lit(ORIGINAL_SEPARATOR).alias("text"),
+                           *[F.lit(None).alias(n) for n in ("filename", "headers", "payload")]))
+    return F.concat(sep.cast(ELEMENT_TYPE), leaves.cast(ELEMENT_TYPE))
 
 
 def elements_text(elements) -> Column:

@@ -27,7 +27,7 @@ from tidings.operators.body import select_body, subject_or_fallback
 from tidings.operators.deliver import to_outbox
 from tidings.operators.outcomes import classify, confirm_sends
 from tidings.operators.prompt import DEFAULT_FOCUS, SYSTEM_PROMPT
-from tidings.operators.render import (DEFAULT_MODEL, SUBJECT_PREFIX, digest_subject,
+from tidings.operators.render import (DEFAULT_MODEL, ELEMENT_TYPE, SUBJECT_PREFIX, digest_subject,
                                       info_header, inject_header, original_elements)
 from tidings.operators.state import delivered_ids, unread_from_sender
 from tidings.operators.tokenize import get_tokenizer, tokenizer_windows
@@ -127,8 +127,8 @@ def finish(staged: DataFrame, summaries: DataFrame, cfg: RunConfig,
     if materialize:
         r = r.checkpoint(eager=True)
     outcomes = r.select(*OUTCOME_COLS, F.coalesce(F.length("summary"), F.lit(0)).cast("bigint").alias("summary_chars"))
-    original = (original_elements("parts", "is_multipart") if cfg.forward
-                else F.lit(None).cast("array<struct<content_type:string,text:string>>"))
+    original = (original_elements("parts", "is_multipart", "tree" if "tree" in r.columns else None)
+                if cfg.forward else F.lit(None).cast(ELEMENT_TYPE))
     outbox = r.where(F.col("status") == "sent").select(
         "msg_uid", F.lit(cfg.from_addr).alias("from_addr"),
         F.lit(cfg.to_addr).alias("to_addr"),
@@ -197,9 +197,10 @@ def run_statuses(messages: DataFrame, ledger: DataFrame, cfg: RunConfig, selecte
 def run_raw(raw: DataFrame, ledger: DataFrame, cfg: RunConfig, summarizer=None, **options):
     """A run over raw mail ``(msg_uid, sender, raw)``: the envelope's sender and
     the ledger choose the messages before anything is parsed, so only those
-    are parsed and a failed fetch keeps its row (``fetch_failed``)."""
+    are parsed and a failed fetch keeps its row (``fetch_failed``). Where the original is
+    forwarded, its attachments, nested mails and headers go along."""
     mine = unread_from_sender(raw, ledger, cfg.sender)
-    return run_digest(parse_mime(mine), ledger, cfg, summarizer, selected=True, **options)
+    return run_digest(parse_mime(mine, tree=cfg.forward), ledger, cfg, summarizer, selected=True, **options)
 
 
 def raw_statuses(raw: DataFrame, ledger: DataFrame, cfg: RunConfig) -> DataFrame:

@@ -22,7 +22,8 @@ from tidings.plans.q_text import SENDER, WIN_M, WIN_O, _sql_windows, sql_words
 from tidings.plans.registry import query
 from tidings.session import deal_by_key, scratch_path, written
 from tidings.sources import tables as T
-from tidings.sources.mailbox import mail_view, raw_mails
+from tidings.sources.mailbox import mail_view, raw_mails, raw_with_attachments
+from tidings.sources.mime import parse_mime
 
 # --- fixed values -----------------------------------------------------------
 RUN_ID = "run-0001"
@@ -358,3 +359,39 @@ def q_append_original(spark, sf_dir):
     ok = F.col("parse_ok")
     return m.select("msg_uid", F.when(ok, F.size(e)).cast("bigint").alias("n_elements"),
                     F.when(ok, F.md5(elements_text(e))).alias("original_md5"))
+
+
+_CRLF = "chr(13) || chr(10)"
+SQL_FORWARDED = f"""
+WITH {SQL_MAIL},
+f AS (SELECT *, coalesce(pt, '') AS body,
+        'Subject: Page ' || msg_uid || {_CRLF} || 'Content-Type: text/html; charset="utf-8"' || {_CRLF} ||
+        'Content-Transfer-Encoding: base64' || {_CRLF} || {_CRLF} ||
+        rtrim(regexp_replace(to_base64(encode(coalesce(html, ''))), '(.{{76}})', '\\1' || {_CRLF}, 'g'), {_CRLF}) AS inner_mail
+      FROM b WHERE fetched)
+SELECT msg_uid, CAST(0 AS BIGINT) AS element_ix, 'text/html' AS content_type, CAST(NULL AS VARCHAR) AS filename,
+       md5('{ORIGINAL_SEPARATOR}') AS text_md5, CAST(NULL AS VARCHAR) AS payload_md5, CAST(NULL AS BIGINT) AS n_headers
+FROM f
+UNION ALL
+SELECT msg_uid, 1, 'text/plain', CASE v WHEN 1 THEN 'notes.txt' WHEN 5 THEN 'NOTES.TXT' END,
+       CASE WHEN v <> 4 THEN md5(body) END, CASE WHEN v = 4 THEN md5(body) END, CASE WHEN v IN (1, 5) THEN 3 ELSE 2 END
+FROM f WHERE has_doc
+UNION ALL
+SELECT msg_uid, 2, 'application/octet-stream',
+       CASE WHEN msg_uid % 2 = 1 THEN 'résumé-' || msg_uid ELSE 'doc ' || msg_uid END, NULL, md5(body), 3
+FROM f WHERE has_doc
+UNION ALL
+SELECT msg_uid, CASE WHEN has_doc THEN 3 ELSE 1 END, 'message/rfc822', NULL, NULL, md5(inner_mail), 1
+FROM f WHERE has_page
+"""
+
+
+@query("forwarded_original", SQL_FORWARDED)
+def q_forwarded_original(spark, sf_dir):
+    """Whole forwarded originals, an element a row: texts, attachments and nested mails by
+    their bytes, with filename and number of headers."""
+    m = parse_mime(raw_with_attachments(spark, sf_dir), tree=True).where("parse_ok")
+    e = m.select("msg_uid", F.posexplode(original_elements("parts", "is_multipart", "tree")).alias("element_ix", "e"))
+    return e.select("msg_uid", F.col("element_ix").cast("bigint").alias("element_ix"), "e.content_type", "e.filename",
+                    F.md5("e.text").alias("text_md5"), F.md5("e.payload").alias("payload_md5"),
+                    F.when(F.col("e.headers").isNotNull(), F.size("e.headers")).cast("bigint").alias("n_headers"))

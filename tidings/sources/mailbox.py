@@ -12,6 +12,9 @@ From that one source come two equal views of the same mail:
   (``parse_ok`` False and no parts where the fetch failed);
 * ``raw_mails``: real RFC 822 bytes (base64 parts, RFC 2047 subject), for
   the MIME parser to take apart again.
+
+``raw_with_attachments`` has the same messages with their text attached once more as a
+file, and with the page as a mail inside the mail.
 """
 
 from __future__ import annotations
@@ -163,3 +166,28 @@ def raw_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(multi, multipart).when(F.col("has_doc"), single_plain)
            .otherwise(single_html))
     return s.select("msg_uid", "sender", F.encode(raw, "utf-8").alias("raw"))
+
+
+def raw_with_attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixed messages: the document's text, the same bytes as a file (its name in RFC 2231 form
+    where the id is odd), and the page as a nested mail."""
+    s = mail_source(spark, sf_dir)
+    uid = F.col("msg_uid").cast("string")
+    sep = F.lit(f"--{BOUNDARY}{CRLF}")
+    name = (F.when(F.col("msg_uid") % 2 == 1, F.concat(F.lit("*=utf-8''r%C3%A9sum%C3%A9-"), uid))
+            .otherwise(F.concat(F.lit('="doc '), uid, F.lit('"'))))
+    content = _b64(F.coalesce("plain_text", F.lit("")))
+    plain = F.concat(sep, _part_headers("text/plain", F.col("plain_charset"), F.col("plain_disposition")),
+                     F.lit(CRLF), content, F.lit(CRLF))
+    attached = F.concat(sep, F.lit("Content-Type: application/octet-stream" + CRLF
+                                   + "Content-Transfer-Encoding: base64" + CRLF
+                                   + "Content-Disposition: attachment; filename"),
+                        name, F.lit(CRLF * 2), content, F.lit(CRLF))
+    inner = F.concat(F.lit("Subject: Page "), uid, F.lit(CRLF), _part_headers("text/html", F.lit("utf-8"), None),
+                     F.lit(CRLF), _b64(F.coalesce("html", F.lit(""))))
+    nested = F.concat(sep, F.lit("Content-Type: message/rfc822" + CRLF * 2), inner, F.lit(CRLF))
+    raw = F.concat(F.lit("From: "), F.col("sender"), F.lit(CRLF + "MIME-Version: 1.0" + CRLF
+                   + f'Content-Type: multipart/mixed; boundary="{BOUNDARY}"' + CRLF * 2),
+                   F.when(F.col("has_doc"), F.concat(plain, attached)).otherwise(F.lit("")),
+                   F.when(F.col("has_page"), nested).otherwise(F.lit("")), F.lit(f"--{BOUNDARY}--{CRLF}"))
+    return s.select("msg_uid", "sender", F.encode(F.when(F.col("fetched"), raw), "utf-8").alias("raw"))
