@@ -159,6 +159,22 @@ def test_licenses_of_a_text_with_all_notices(frequent):
     assert set(got) == {label for label, _, _ in licenses.TEMPLATES}
 
 
+def test_licenses_of_a_whole_licence_text_with_changed_words():
+    index = licenses.Index()
+    idf = {w: 1.0 for w in index.vocabulary}
+    whole = [t for t in licenses.TEMPLATES if len(t[1].split()) > 100]
+    assert len(licenses.TEMPLATES) >= 30 and len(whole) >= 4
+    for label, notice, keys in whole:
+        held = {w for k in keys for w in k.split()}
+        text = " ".join("other" if i % 5 == 0 and w not in held else w for i, w in enumerate(notice.split()))
+        words = licenses.compact("Copyright 2020 " + text)
+        assert label in licenses.matches(words, index, idf)
+        if [t[0] for t in licenses.TEMPLATES].count(label) == 1:
+            assert label not in licenses.matches([w if w.decode() not in keys[-1].split() else b"no" for w in words], index, idf)
+    long = "the software of this license and or " * 9000 + whole[0][1]     # notices across the ends of a span
+    assert licenses.matches(licenses.compact(long), index, idf)[whole[0][0]] == 1.0
+
+
 def test_licenses_of_many_notices_with_changed_words():
     index, rng = licenses.Index(), random.Random(9)
     for _ in range(150):
@@ -224,6 +240,45 @@ def test_packing_limits():
     assert all(sum(x) <= 64 and len(x) <= 3 and sum(x) - len(x) <= 50 for x in by_seq.values())
 
 
+def test_packing_with_prompts():
+    p = packing.Params(length=64, segments=4, loss=20, pool=16)
+    packer, rng, total, prompts = packing.Packer(p, 0), random.Random(2), {}, {}
+    for d in range(400):
+        total[d] = rng.randrange(1, 150)
+        prompts[d] = rng.choice([0, total[d], rng.randrange(total[d] + 1)])
+        packer.add(d, total[d], prompts[d])
+    packer.finish()
+    by_seq, by_doc = {}, {}
+    for d, at, n, s, _ in packer.out:
+        bears = [t for t in range(at + 1, at + n) if t >= prompts[d]]
+        by_seq.setdefault(s, []).append((n, len(bears)))
+        by_doc.setdefault(d, []).extend(range(at, at + n))
+    assert {d: sorted(x) for d, x in by_doc.items()} == {d: list(range(n)) for d, n in total.items()}
+    assert all(len(x) <= 4 and sum(n for n, _ in x) <= 64 and sum(b for _, b in x) <= 20 for x in by_seq.values())
+    assert sum(sum(b for _, b in x) == 20 for x in by_seq.values()) > 20      # the loss limit binds
+
+
+def test_packing_takes_the_largest_dot_product_not_the_largest_piece():
+    p = packing.Params(length=100, segments=10, loss=30, pool=64)
+    packer = packing.Packer(p, 0)
+    packer.add("prompts", 60, 60)       # tokens .6, loss 0
+    packer.add("answer", 50, 20)        # tokens .5, loss 30 of 30
+    packer.add("rest", 30, 30)
+    packer.pack(0)
+    assert packer.out[0][0] == "answer"                       # the largest piece that fits is "prompts"
+    assert packer.out[1][0] == "rest"                         # 50 tokens of room left, no loss
+
+
+def test_packing_with_a_prompt_column(spark):
+    rows = [(1, "one two three four", 2, "x"), (2, None, None, "x"), (3, "a b", 99, None), (4, "c d e", -5, None), (4, "c d e", -5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.prompt` int, text2 string").coalesce(1)
+    got = packing.pack(docs, prompt="a.prompt").collect()
+    given = {1: 2, 2: 0, 3: 99, 4: 0}
+    assert {r.doc_id for r in got} == {1, 2, 3, 4}
+    for r in got:
+        assert r.loss_tokens == len([t for t in range(r.start + 1, r.start + r.length) if t >= given[r.doc_id]])
+
+
 def test_tokenizer_keeps_the_ids():
     from tokenizers import Tokenizer
     path, rng = packing.tokenizer_file(), random.Random(5)

@@ -17,11 +17,14 @@ ids follow its merges, its vocabulary is run by the faster of the two installed
 libraries, which gives the same ids; texts that hold a special token, or a run of
 spaces too long for that library's expression, take the file's own library.
 
-Loss: for instruction data the first token of a segment has nothing before
-it to be predicted from and bears no loss; all others do.
+Loss: the first token of a segment has nothing before it to be predicted from and bears no
+loss. For instruction data a column gives, for each document, how many of its first tokens are prompt and bear none either;
+all others do. The three demands of a piece then differ in direction: a long prompt fills tokens, a
+long answer fills the loss limit, a short piece a segment. Equal dot products: the piece that waits longest.
 
 Defined cases: null text counts as empty and gives one piece holding id 1.
-Repeated rows are packed each on its own, null ids too; other columns,
+A very long text is tokenized whole and cut. A prompt length that is null or negative counts as 0,
+one beyond the document as the whole of it. Repeated rows are packed each on its own, null ids too; other columns,
 whatever their names, are ignored. An empty table gives no rows.
 """
 
@@ -35,6 +38,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidings.llm.common import whole_text
@@ -101,26 +105,36 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def bearing(start, size, prompt):
+    """Loss-bearing tokens of a piece: all but its first and those of the prompt."""
+    return np.maximum(0, start + size - np.maximum(start + 1, prompt))
+
+
+def reach(start, prompt, loss):
+    """Tokens from ``start`` on that hold at most ``loss`` loss-bearing ones."""
+    return np.maximum(start + 1, prompt) + loss - start
+
+
 class Packer:
     """Places pieces; ``emit(piece, start, length, sequence, offset)`` for each."""
 
     def __init__(self, p: Params, first_sequence: int):
         self.p, self.sequence, self.out = p, first_sequence, []
-        self.waiting: list = []                    # (doc, start, size)
+        self.waiting: list = []                    # (doc, start, size, prompt)
 
-    def demand(self, size):
-        return size / self.p.length, 1 / self.p.segments, (size - 1) / self.p.loss
+    def demand(self, size, loss):
+        return size / self.p.length, 1 / self.p.segments, loss / self.p.loss
 
-    def add(self, doc, total: int) -> None:
-        """Full pieces go out at once, the rest waits."""
-        full = min(self.p.length, self.p.loss + 1)
-        at = 0
-        while total - at >= full:
+    def add(self, doc, total: int, prompt: int = 0) -> None:
+        """Full pieces go out at once, the rest waits: where the loss limit binds, prompts may
+        share the sequence. The first ``prompt`` tokens bear no loss."""
+        at, full = 0, self.p.length
+        while total - at >= full and reach(at, prompt, self.p.loss) >= full:
             self.out.append((doc, at, full, self.sequence, 0))
             self.sequence += 1
             at += full
         if total > at:
-            self.waiting.append((doc, at, total - at))
+            self.waiting.append((doc, at, total - at, prompt))
         if len(self.waiting) >= self.p.pool:
             self.pack(self.p.pool // 2)
 
@@ -129,32 +143,35 @@ class Packer:
         p, items = self.p, self.waiting
         size = np.array([i[2] for i in items], np.int64)
         start = np.array([i[1] for i in items], np.int64)
+        prompt = np.array([i[3] for i in items], np.int64)
+        bears = bearing(start, size, prompt)
         live, n = np.ones(len(items), bool), len(items)
         while n > leave and int(size[live].sum()) >= p.length:
             room, segments, loss, offset = p.length, p.segments, p.loss, 0
-            while room and segments:
-                fits = live & (size <= room) & (size - 1 <= loss)
+            while room and segments and n:
+                fits = live & (size <= room) & (bears <= loss)
                 if fits.any():
-                    token, segment, bearing = self.demand(size)
+                    token, segment, bear = self.demand(size, bears)
                     dot = (token * (room / p.length) + segment * (segments / p.segments)
-                           + bearing * (loss / p.loss))
+                           + bear * (loss / p.loss))
                     i = int(np.argmax(np.where(fits, dot, -1)))
                     take = int(size[i])
                 else:
-                    take = min(room, loss + 1)
-                    waits = np.flatnonzero(live)
-                    if take < 1 or not len(waits):
-                        break
-                    i = int(waits[np.argmax(size[waits])])
+                    # the piece that fills most, of those the largest
+                    fill = np.where(live, np.minimum(room, reach(start, prompt, loss)), 0)
+                    i = int(np.argmax(fill * (int(size.max()) + 1) + np.where(live, size, 0)))
+                    take = int(fill[i])
                 self.out.append((items[i][0], int(start[i]), take, self.sequence, offset))
+                loss -= int(bearing(start[i], take, prompt[i]))
                 start[i] += take
                 size[i] -= take
+                bears[i] = bearing(start[i], size[i], prompt[i])
                 if not size[i]:
                     live[i] = False
                     n -= 1
-                room, segments, loss, offset = room - take, segments - 1, loss - take + 1, offset + take
+                room, segments, offset = room - take, segments - 1, offset + take
             self.sequence += 1
-        self.waiting = [(items[i][0], int(start[i]), int(size[i])) for i in np.flatnonzero(live)]
+        self.waiting = [(items[i][0], int(start[i]), int(size[i]), items[i][3]) for i in np.flatnonzero(live)]
 
     def finish(self) -> None:
         """Pack all; the last tokens go to sequences of power-of-two lengths."""
@@ -164,13 +181,14 @@ class Packer:
             total = sum(r[2] for r in rest)
             room = min(1 << (total.bit_length() - 1), p.length)
             segments, loss, offset, left = p.segments, p.loss, 0, []
-            for doc, start, size in rest:
-                take = min(size, room, loss + 1) if segments else 0
+            for doc, start, size, prompt in rest:
+                take = int(min(size, room, reach(start, prompt, loss))) if segments else 0
                 if take:
                     self.out.append((doc, start, take, self.sequence, offset))
-                    room, segments, loss, offset = room - take, segments - 1, loss - take + 1, offset + take
+                    loss -= int(bearing(start, take, prompt))
+                    room, segments, offset = room - take, segments - 1, offset + take
                 if size > take:
-                    left.append((doc, start + take, size - take))
+                    left.append((doc, start + take, size - take, prompt))
             self.sequence += 1
             rest = left
         self.waiting = []
@@ -181,9 +199,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def pack(docs: DataFrame, path: str | None = None, p: Params = Params()) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, p: Params = Params(), prompt: str | None = None) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
-    loss_tokens. ``path``: the tokenizer's file, on every executor."""
+    loss_tokens. ``path``: the tokenizer's file, on every executor; ``prompt``: the column
+    with the number of a document's first tokens that bear no loss, if there is one."""
     ship_package(docs.sparkSession)
     path = path or tokenizer_file()
     key = docs.schema["doc_id"].dataType
@@ -203,18 +222,21 @@ def pack(docs: DataFrame, path: str | None = None, p: Params = Params()) -> Data
             crc = [zlib.crc32(d[1][4 * at:4 * (at + n)]) for d, at, n, _, _ in out]
             cols = [[at for _, at, _, _, _ in out], [n for _, _, n, _, _ in out], crc,
                     [len(d[1]) // 4 for d, *_ in out], [s for *_, s, _ in out],
-                    [o for *_, o in out], [n - 1 for _, _, n, _, _ in out]]
+                    [o for *_, o in out], [int(bearing(at, n, d[2])) for d, at, n, _, _ in out]]
             return pa.RecordBatch.from_arrays([ids] + [pa.array(c, pa.int64()) for c in cols],
                                               names=("doc_id",) + names)
         for b in batches:
             kind = b.schema.field(0).type
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for doc_id, text, given in zip(*(b.column(i).to_pylist() for i in range(3))):
                 ids = encode(text) + end
-                packer.add((doc_id, ids), len(ids) // 4)
+                total = len(ids) // 4
+                unlearned = max(0, min(given or 0, total))
+                packer.add((doc_id, ids, unlearned), total, unlearned)
             if packer.out:
                 yield rows()
         packer.finish()
         if packer.out:
             yield rows()
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, schema)
+    given = F.lit(0) if prompt is None else F.col("`" + prompt.replace("`", "``") + "`")
+    return docs.select("doc_id", whole_text().alias("text"), given.cast("long").alias("prompt")).mapInArrow(run, schema)
