@@ -7,7 +7,9 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import tidings.plans  # noqa: F401  (registers every query)
 from tidings.plans.digest import RunConfig
+from tidings.plans.registry import QUERIES
 from tidings.sources.run_store import RunStore
 from tidings.streaming.poll import poll
 
@@ -97,3 +99,18 @@ def test_idle_poll_tries_undelivered_messages_again(spark, sf_small):
     docs.where("doc_id between 20 and 29").coalesce(1).write.mode("append").parquet(src)
     poll(spark, src, out, ck, CFG, summarizer=up)
     assert sorted(_outbox_ids(spark, out)) == list(range(30))
+
+
+def _tables_in_parts(spark, folder):
+    """``documents`` and ``labels`` as folders of part files, as large tables come."""
+    docs = [(i, "src1" if i % 2 else "other", None if i == 5 else f"Title {i}\nA word. Two words.") for i in range(20)]
+    spark.createDataFrame(docs, "doc_id bigint, source string, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, int(i == 3), int(i in (7, 8))) for i in range(20)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").repartition(2).write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+def test_incremental_poll_of_a_table_in_parts(spark, tmp_path):
+    got = QUERIES["incremental_poll"](spark, _tables_in_parts(spark, str(tmp_path / "t"))).collect()
+    assert sorted((r.msg_uid, r.status) for r in got) == [
+        (i, "no_body" if i == 5 else "sent") for i in range(1, 20, 2) if i != 3]

@@ -27,12 +27,12 @@ WHERE contains(lower(d.source), lower('{SENDER}'))
   AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.quality = 1 AND l.doc_id = d.doc_id)
 """)
 def q_incremental_poll(spark, sf_dir):
-    """Stream the documents file through the digest run (availableNow), in a
-    fresh folder under the shared checkpoint folder; the outcomes equal the
-    batch run's."""
+    """Stream the documents, a file or a folder of part files, through the digest run
+    (availableNow), in a fresh folder under the shared checkpoint folder; the outcomes
+    equal the batch run's."""
     base = scratch_path(spark, "poll", uuid.uuid4().hex)
-    store = poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
-                 glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir))
+    store = poll(spark, T.path(sf_dir, "documents"), os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
+                 glob="*", initial_ledger=T.read_ledger(spark, sf_dir))
     return store.table("outcomes").select("msg_uid", "status")
 
 

@@ -22,8 +22,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+def path(sf_dir: str, name: str) -> str:
+    """A table's file, or its folder of part files."""
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def documents(spark, sf_dir) -> DataFrame:

@@ -35,6 +35,7 @@ from tidings.operators.body import PART_TYPE
 from tidings.operators.deliver import to_outbox
 from tidings.operators.state import sender_matches
 from tidings.plans.digest import RunConfig, commit_run, run_digest
+from tidings.session import is_file
 from tidings.sources.run_store import RunStore
 
 def documents_as_messages(df: DataFrame) -> DataFrame:
@@ -125,12 +126,14 @@ def retry_pending(spark: SparkSession, out_dir: str, checkpoint: str, cfg: RunCo
             cfg, initial_ledger, summarizer, deliver, plan)
 
 
-def parquet_files(source_dir: str, glob: str = "*.parquet", max_files: int | None = None):
-    """A source for `poll`: new parquet files below a folder."""
+def parquet_files(source: str, glob: str = "*.parquet", max_files: int | None = None):
+    """A source for `poll`: new parquet files below a folder, or a table that is one file."""
     def stream(spark: SparkSession) -> DataFrame:
-        schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
-        reader = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", glob)
-        return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(source_dir)
+        # Spark's file source watches folders: a file is the only match of its name in its folder
+        folder, names = os.path.split(source) if is_file(spark, source) else (source, glob)
+        schema = spark.read.option("pathGlobFilter", names).parquet(folder).schema
+        reader = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", names)
+        return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(folder)
     return stream
 
 
@@ -141,7 +144,7 @@ def poll(spark: SparkSession, source: str | Callable[[SparkSession], DataFrame],
     """Process every file not yet seen by ``checkpoint``, then stop (I1/I2);
     without such a file, try the undelivered messages again (I4).
 
-    ``source`` is a folder of parquet files or gives a streaming DataFrame; ``to_messages``
+    ``source`` is a folder of parquet files, one such file, or gives a streaming DataFrame; ``to_messages``
     turns its rows into what ``plan`` runs on (`run_digest`, or `run_raw` for raw mail)."""
     stream = (parquet_files(source, glob, max_files) if isinstance(source, str) else source)(spark)
     process = make_batch_fn(out_dir, checkpoint, cfg, initial_ledger, to_messages, summarizer, deliver, plan)
