@@ -114,3 +114,9 @@ def test_incremental_poll_of_a_table_in_parts(spark, tmp_path):
     got = QUERIES["incremental_poll"](spark, _tables_in_parts(spark, str(tmp_path / "t"))).collect()
     assert sorted((r.msg_uid, r.status) for r in got) == [
         (i, "no_body" if i == 5 else "sent") for i in range(1, 20, 2) if i != 3]
+
+
+def test_poll_attempts_of_a_table_in_parts(spark, tmp_path):
+    got = QUERIES["poll_attempts"](spark, _tables_in_parts(spark, str(tmp_path / "t"))).collect()
+    want = {i: ("sent", 1) for i in range(1, 20, 2) if i != 3} | {5: ("no_body", 2), 7: ("send_failed", 2)}
+    assert {r.msg_uid: (r.status, r.attempts) for r in got} == want

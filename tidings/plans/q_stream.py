@@ -97,7 +97,7 @@ def q_poll_attempts(spark, sf_dir):
         return deliver
 
     for which in ("true", "msg_uid % 2 = 1"):
-        store = poll(spark, sf_dir, os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
-                     glob="documents.parquet", initial_ledger=T.read_ledger(spark, sf_dir), deliver=refusing(which))
+        store = poll(spark, T.path(sf_dir, "documents"), os.path.join(base, "out"), os.path.join(base, "checkpoint"), CFG,
+                     glob="*", initial_ledger=T.read_ledger(spark, sf_dir), deliver=refusing(which))
     return (store.table("outcomes").groupBy("msg_uid")
             .agg(F.max_by("status", "attempts").alias("status"), F.max("attempts").alias("attempts")))
