@@ -83,3 +83,20 @@ def test_tokenizer_error_is_a_message_outcome(spark, sf_small):
                 (got[r.msg_uid].n_chunks, got[r.msg_uid].n_tokens, got[r.msg_uid].status)
     with pytest.raises(TokenizerError):
         run_digest(msgs, ledger, RunConfig(sender="src", tokenizer="no-such-encoding"))
+
+
+def test_mail_is_parsed_in_slices():
+    import pyarrow as pa
+
+    from tidings.session import SLICE_BYTES, slices
+    from tidings.sources.mime import _parser
+    raws = [b"Subject: s%d\r\n\r\n" % i + b"x" * size for i, size in enumerate([1 << 20] * 11 + [9 << 20] + [10] * 5)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(raws))), pa.array(raws, pa.binary()), pa.array([None] * len(raws), pa.string())],
+                                       names=["msg_uid", "raw", "sender"])
+    for tree in (False, True):
+        out = list(_parser(tree)([batch, batch.slice(0, 0)]))
+        assert [u for b in out for u in b.column("msg_uid").to_pylist()] == list(range(len(raws)))
+        assert [s for b in out for s in b.column("subject").to_pylist()] == [f"s{i}" for i in range(len(raws) - 1)] + [None]
+        # no more than a slice's mail is held as objects, but for a mail that is larger alone
+        assert all(b.num_rows <= 1 or b.nbytes <= 1.1 * SLICE_BYTES for b in out) and len(out) > 4
+    assert [b.num_rows for b in slices(batch.slice(0, 0))] == [0]

@@ -126,6 +126,21 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+# Bytes of an Arrow batch that become Python objects at a time.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch, most: int = SLICE_BYTES):
+    """``batch`` in slices of at most ``most`` bytes (or one row), in order. Spark's batches hold up to
+    64 MB; what a step makes of them, objects and results, is several times that if made at once."""
+    if batch.num_rows > 1 and batch.nbytes > most:
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half), most)
+        yield from slices(batch.slice(half), most)
+    else:
+        yield batch
+
+
 _SHIPPED: set[str] = set()
 
 
