@@ -96,9 +96,14 @@ def size_stats(outcomes: DataFrame, by: str = "sender") -> DataFrame:
 
 
 def summary_stats(outcomes: DataFrame, by: str = "sender") -> DataFrame:
-    """O3: lengths of the summaries that were made, per sender; ``outcomes`` has ``summary_chars``."""
-    return outcomes.where(F.col("summary_chars") > 0).groupBy(by).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_summaries"),
+    """O3: lengths of the summaries that were made, per sender; ``outcomes`` has ``summary_chars``.
+
+    Outcomes without a summary count as null, not by a filter on the rows: that would be pushed
+    below the projections with the summary written out in it, and make every summary again."""
+    made = outcomes.select(by, F.nullif("summary_chars", F.lit(0)).alias("summary_chars"))
+    return made.groupBy(by).agg(
+        F.count("summary_chars").cast("bigint").alias("n_summaries"),
         F.min("summary_chars").cast("bigint").alias("min_chars"),
         F.max("summary_chars").cast("bigint").alias("max_chars"),
-        F.round(F.avg("summary_chars"), 3).alias("avg_chars"), *percentiles("summary_chars", "chars"))
+        F.round(F.avg("summary_chars"), 3).alias("avg_chars"),
+        *percentiles("summary_chars", "chars")).where("n_summaries > 0")
