@@ -91,3 +91,21 @@ def test_windows_are_spread_evenly(spark, parts):
     assert all(abs(s - sum(sizes) / parts) <= 400 for s in sums)
     if parts == 4:
         assert max(len([r for r in got if r.p == p and r.n >= 90]) for p in range(parts)) <= 6
+
+
+def test_folds_are_done_in_slices():
+    import pyarrow as pa
+
+    from tidings.operators.model import _folder
+    windows = [[{"chunk": f"Window {i}. " + "x" * (1 << 19)}, {"chunk": f"Last {i}. More."}] for i in range(20)] + [[], None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(22)), pa.array(windows, pa.list_(pa.struct([("chunk", pa.string())])))], ["doc_id", "chunks"])
+    sizes = []
+
+    class Counting(LeadSentence):
+        def __call__(self, requests):
+            sizes.append(sum(len(r["chunk"]) for r in requests))
+            return super().__call__(requests)
+
+    rows = [r for b in _folder("doc_id", Counting(), {})([batch]) for r in b.to_pylist()]
+    assert [(r["doc_id"], r["summary"], r["n_calls"]) for r in rows] == [(i, f"Last {i}.", 2) for i in range(20)] + [(20, "", 0), (21, "", 0)]
+    assert max(sizes) <= 4 << 20

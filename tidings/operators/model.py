@@ -35,7 +35,7 @@ from pyspark.sql import types as ST
 from tidings.functions.text import SENTENCE_RE, WHITESPACE
 from tidings.operators.prompt import DEFAULT_FOCUS, SAMPLING, SYSTEM_PROMPT, prompt_py
 from tidings.operators.render import DEFAULT_MODEL
-from tidings.session import path_exists, ship_package, written
+from tidings.session import path_exists, ship_package, slices, written
 
 # What is sent of a request; its other fields are for plug-ins that work on the window itself.
 SENT = ("model", "messages", *SAMPLING)
@@ -187,8 +187,14 @@ def _fold(df: DataFrame, key: str, summarizer, settings: dict) -> DataFrame:
     schema = ST.StructType([ST.StructField(key, df.schema[key].dataType)] +
                            [ST.StructField(n, t) for n, t in FOLD_SCHEMA_FIELDS] + [ST.StructField("asked", reply)])
 
-    def run(batches):
-        for b in batches:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(_folder(key, summarizer, settings), schema)
+
+
+def _folder(key: str, summarizer, settings: dict):
+    def fold_batches(batches):
+        # slice by slice, so that a worker holds the windows and requests of few documents
+        for b in (s for batch in batches for s in slices(batch)):
             lists = [[c["chunk"] for c in (cs or [])] for cs in b.column(1).to_pylist()]
             known = [dict(k or []) for k in b.column(2).to_pylist()] if b.num_columns > 2 else None
             s, e, n, asked = fold_lists(lists, summarizer, known=known, **settings)
@@ -196,9 +202,7 @@ def _fold(df: DataFrame, key: str, summarizer, settings: dict) -> DataFrame:
                 [b.column(0), pa.array(s, pa.string()), pa.array(e, pa.string()), pa.array(n, pa.int64()),
                  pa.array([list(a.items()) for a in asked], pa.map_(pa.string(), pa.string()))],
                 names=[key, "summary", "error_kind", "n_calls", "asked"])
-
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return fold_batches
 
 
 def _kept_fold(df: DataFrame, key: str, chunks_col: str, kept: Kept, settings: dict) -> DataFrame:
