@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions.text import (TERM_MIN_LEN, TERM_SPLIT_RE, col_, html_escape,
                                     py_strip, sentences)
-from tidings.session import ship_package
+from tidings.session import ship_package, slices
 
 # --- fixed values -----------------------------------------------------------
 TOP_KEYWORDS = 5
@@ -90,17 +90,27 @@ def written_date(text) -> Column:
     return F.get(F.filter(dates, lambda d: d.isNotNull()), F.lit(0))
 
 
-def doc_terms(docs: DataFrame, key: str = "doc_id",
-              text: str = "text") -> DataFrame:
-    """(key, term): one row per term occurrence.
-
-    The letter runs are exploded first and the length test is a plain
-    (codegen) filter after it, not an array lambda. ``explode_outer`` keeps
-    the optimizer from inferring a ``size(..) > 0`` filter that would split
-    the text twice."""
-    runs = F.split(F.lower(col_(text)), TERM_SPLIT_RE)
-    return (docs.select(key, F.explode_outer(runs).alias("term"))
-                .where(F.length("term") >= TERM_MIN_LEN))
+def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, term, tf): the terms of each document and how often it has them.
+
+    A document's letter runs are sorted and counted beside it. A hash table by (document, term)
+    would hold the terms of all documents of a task, many times their text; so a task needs
+    memory for the texts and for the terms of one document. Rows with the same key are one document.
+    ``explode_outer`` keeps the optimizer from inferring a ``size(..) > 0`` filter that would
+    split the text twice."""
+    d = docs.groupBy(key).agg(F.collect_list(text).alias("texts"))
+    runs = F.flatten(F.transform("texts", lambda t: F.split(F.lower(t), TERM_SPLIT_RE)))
+    # each step is a column of its own: an expression would be computed again for each run
+    d = d.select(key, F.sort_array(runs).alias("runs"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("runs")),
+                      lambda i: (i == 0) | ~F.get("runs", i - 1).eqNullSafe(F.get("runs", i)))
+    # the last start is the end of the runs
+    d = d.select(key, "runs", starts.alias("starts"))
+    first = F.slice("starts", 1, F.size("starts") - 1)
+    # a map, which is not cut to the fields that are read: cut, it would be computed in the steps above once more
+    counts = F.map_from_arrays(F.transform(first, lambda s: F.get("runs", s)),
+                               F.transform(first, lambda s, n: (F.get("starts", n + 1) - s).cast("bigint")))
+    return d.select(key, F.explode_outer(counts).alias("term", "tf")).where(F.length("term") >= TERM_MIN_LEN)
 
 
 def term_weights(docs: DataFrame, key: str = "doc_id",
@@ -112,13 +122,10 @@ def term_weights(docs: DataFrame, key: str = "doc_id",
     ``docs`` is repartitioned: counting the plain scan needs no shuffle."""
     if n_docs is None:
         n_docs = docs.select(F.count(F.lit(1))).scalar()
-    tf = doc_terms(docs, key, text).groupBy(key, "term").agg(
-        F.count(F.lit(1)).alias("tf"))
-    # df: the documents where the term occurs (tf > 0). Reading tf here keeps
-    # this branch's plan equal to the other one up to the (key, term)
-    # shuffle, so AQE reuses that stage instead of splitting the texts twice.
-    df_ = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("df"))
-    w = tf.join(df_, on="term")
+    tf = term_counts(docs, key, text)
+    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # the few rows a term has on this side are hashed, so that no task sorts its term counts
+    w = tf.join(df_.hint("shuffle_hash"), on="term")
     score = F.round(F.col("tf") * F.ln((n_docs + F.lit(1)) / (F.col("df") + F.lit(1))),
                     SCORE_DIGITS)
     return w.select(key, "term", "tf", "df", score.alias("score"))
@@ -191,7 +198,9 @@ def sentence_means(units: Column, weights="weights") -> Column:
 
     One Arrow step beside the document: neither occurrences nor weights leave its row."""
     def means(units: pa.Array, weights: pa.Array) -> pa.Array:
-        return _means(units, weights)
+        # the numbers of all occurrences are several times the text, so slice by slice
+        batch = pa.RecordBatch.from_arrays([units, weights], names=["units", "weights"])
+        return pa.concat_arrays([_means(*s.columns) for s in slices(batch)])
 
     ship_package(SparkSession.active())
     # types given as objects, since annotations are text in this module
